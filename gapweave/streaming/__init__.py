@@ -1,0 +1 @@
+"""Kept empty: every input of this engine is a finished file, so all jobs are batch."""
