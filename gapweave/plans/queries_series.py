@@ -92,7 +92,7 @@ def row_positions(t: Tables) -> DataFrame:
 def rolling_raw(t: Tables) -> DataFrame:
     """Row frames over raw readings, cut into chunks that carry a copy of the rows before them."""
     out = blocks.roll(log(t, gaps=True), ["site"], "time", {"s12": ("x", "sum", 12), "m48": ("x", "max", 48)},
-                      ["event_id"], chunk_rows=5_000)
+                      ["event_id"])
     return out.drop("x")
 
 
@@ -126,12 +126,14 @@ def yearly_quantiles(t: Tables) -> DataFrame:
 
 
 @query(f"""
-WITH {SHIPMENTS} SELECT y, count(*) AS n, (SELECT count(*) FROM shipments) AS total FROM shipments GROUP BY y
+WITH {SHIPMENTS} SELECT y, n, upto - n AS below, upto, total FROM (
+  SELECT y, n, (sum(n) OVER (ORDER BY y))::BIGINT AS upto, (sum(n) OVER ())::BIGINT AS total
+  FROM (SELECT y, count(*) AS n FROM shipments GROUP BY y))
 """)
-def value_counts(t: Tables) -> DataFrame:
+def value_ranks(t: Tables) -> DataFrame:
     """Heavily repeated values: ranks of the distinct values of one group."""
     df = shipments(t).withColumn("all_sites", F.lit("all"))
-    return quantiles.value_ranks(df, ["all_sites"], "y", bound=1).select("y", "n", "total")
+    return quantiles.value_ranks(df, ["all_sites"], "y", bound=1).drop("all_sites")
 
 
 # --- grids ------------------------------------------------------------------
