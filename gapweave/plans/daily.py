@@ -14,7 +14,7 @@ from gapweave.operators.aggregate import daily_stats
 
 #: Calendar and key columns that are no daily values.
 _NOT_VALUES = ("year", "month", "day", "hour", "ddate")
-_STAT_CODE = F.when(F.col("stat") == "min", 0.0).when(F.col("stat") == "mean", 1.0).otherwise(2.0)
+STAT_CODE = F.when(F.col("stat") == "min", 0.0).when(F.col("stat") == "mean", 1.0).otherwise(2.0)
 
 
 def complete_days(frame: DataFrame, target: str, n: int = 24, day: Sequence[str] = ("site", "date")) -> DataFrame:
@@ -37,11 +37,11 @@ def run(frame: DataFrame, target: str = "t28m", seed: int = models.SEED, **searc
     """Fit on complete days, predict all days.  Returns the product and the search."""
     days = daily(complete_days(frame, target))
     split = sampling.block_split(days, "date", ["site", "date", "stat"], seed)
-    split = split.withColumn("stat_code", _STAT_CODE)
+    split = split.withColumn("stat_code", STAT_CODE)
     checks.require_some_finite(split.where("part = 'train'"), target)
     inputs = naming.covariates(days.columns, extra=("month", "stat_code"))
     train = models.usable(split.where("part = 'train'"), target, "train")
     found = models.search_boosted(train, target, inputs, **search)
-    everything = daily(frame).withColumn("stat_code", _STAT_CODE)
+    everything = daily(frame).withColumn("stat_code", STAT_CODE)
     out = models.score(found.best, everything, f"pred_{target}", inputs)
     return out.select("site", "date", "stat", f"pred_{target}", target), found

@@ -91,3 +91,41 @@ GRID = ("grid AS (SELECT event_type AS variable, 308.0::DOUBLE + (user_id % 5) *
         "-2.25::DOUBLE + (user_id % 7) * 0.25::DOUBLE AS lat, h - h % 12 AS time_hours, "
         "(h % 12)::INTEGER AS lead_hours, x AS value, event_id FROM (SELECT event_type, user_id, event_id, "
         "sqrt(value) AS x, date_diff('hour', TIMESTAMP '1900-01-01 00:00:00', date_trunc('hour', ts)) AS h FROM events))")
+
+
+def covariate_inputs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Raw reanalysis, satellite rain, daily rain and hourly station record, from the sensors."""
+    s = sensors(t).where("site IS NOT NULL")
+    reanalysis = s.select(
+        "site", F.col("time").alias("time_utc"), (F.coalesce("e5_t2m", F.lit(7.0)) + 290).alias("t2m"),
+        (F.coalesce("e5_ws", F.lit(6.0)) + 280).alias("d2m"), F.coalesce("g_p", F.lit(1.0)).alias("u"),
+        F.coalesce("c_p", F.lit(2.0)).alias("v"), (F.coalesce("g_p", F.lit(0.0)) / 1000).alias("total_precipitation"))
+    p = placed(t).where("site IS NOT NULL")
+    satellite = p.groupBy("site", clock.floor_time(F.col("time"), 30).alias("time_utc")).agg(F.avg("x").alias("precip"))
+    rain = p.groupBy("site", F.to_date("time").alias("date")).agg(F.sum("x").alias("c_p24h"))
+    station = s.select("site", clock.to_local(F.col("time")).alias("date"), "t28m",
+                       (F.coalesce("e5_ws", F.lit(4.0)) * 5).alias("rh28m"),
+                       F.year("time").alias("year"), F.month("time").alias("month"), F.dayofmonth("time").alias("day"),
+                       F.hour("time").alias("hour"))
+    return reanalysis, satellite, rain, station
+
+
+def model_days(t: Tables) -> DataFrame:
+    """Multi-year model frame: one row per site and day, covariates and three targets."""
+    df = shipments(t).groupBy("site", F.col("time").alias("time_utc")).agg(
+        F.avg("x").alias("t28m"), F.avg(F.when(F.col("d") > 0.02, 100 * F.col("d"))).alias("rh28m"),
+        F.max(F.when(F.col("p") > 0.01, F.col("x") / 100)).alias("vv"),
+        F.avg("y").alias("e5_t2m"), F.max("y").alias("e5_ws"), F.avg("d").alias("g_p"),
+        F.sum("y").alias("c_p24h"))
+    time = F.col("time_utc")
+    return df.withColumns({"time_local": time, "date": F.to_date(time), "year": F.year(time), "month": F.month(time),
+                           "hour": F.dayofweek(time)})
+
+
+def model_slots(t: Tables) -> DataFrame:
+    """Frame for the daily plan: months in the role of days, weeks in the role of hours."""
+    month = F.trunc(F.to_date("time"), "month")
+    slot = F.floor((F.dayofmonth("time") - 1) / 7)
+    return shipments(t).groupBy("site", month.alias("date"), slot.alias("slot")).agg(
+        F.avg("x").alias("t28m"), F.avg("y").alias("e5_t2m"), F.max("y").alias("e5_ws"), F.avg("d").alias("g_p")
+    ).drop("slot")
