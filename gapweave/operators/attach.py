@@ -13,16 +13,17 @@ is not an option.  Two exact ways:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Largest table of groups, in rows, that is ever broadcast.
+#: Largest table of groups that is ever broadcast.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 #: A group above this share of all rows is served by broadcast, so at most
 #: ``1 / HEAVY_SHARE`` groups are.
-HEAVY_SHARE = 1e-4
+HEAVY_SHARE = 1e-5
 #: Spread of the rows that need no second match.
 SALTS = 1024
 
@@ -39,25 +40,37 @@ def _marked(groups: DataFrame, on: Sequence[str], tag: str) -> tuple[DataFrame,
     return groups.withColumnsRenamed(marks), marks
 
 
+def fits(n_groups: int, row_bytes: int) -> bool:
+    return n_groups <= BROADCAST_ROWS and n_groups * row_bytes <= BROADCAST_BYTES
+
+
+def counted(groups: DataFrame, weight: str | None = None) -> tuple[DataFrame, int, int]:
+    """Compute a table of groups once, keep it, and count it (and the rows behind it)."""
+    groups = groups.persist()
+    total = F.sum(weight) if weight else F.lit(0).cast("bigint")
+    n_groups, n_rows = groups.agg(F.count(F.lit(1)), total).first()
+    return groups, n_groups, n_rows or 0
+
+
 def attach(rows: DataFrame, groups: DataFrame, on: Sequence[str], *, how: str = "left",
-           bound: int | None = None, weight: str | None = None) -> DataFrame:
+           bound: int | None = None, weight: str | None = None, row_bytes: int = 100) -> DataFrame:
     """Join ``groups`` (unique on ``on``; NULL keys match NULL) to ``rows``.
 
     ``bound``: proven upper limit of the number of groups, e.g. months x hours.
     ``weight``: column of ``groups`` with its number of rows; it is dropped.
-    Without a bound the groups are computed once, kept, and counted.
+    ``row_bytes``: about how wide a group is.
+    Without a sufficient bound the groups are computed once, kept, and counted.
     """
-    if bound is not None and bound <= BROADCAST_ROWS:
-        return _attach_small(rows, groups.drop(weight) if weight else groups, on, how)
-
-    groups = groups.persist()
-    total = F.sum(weight) if weight else F.lit(None).cast("bigint")
-    n_groups, n_rows = groups.agg(F.count(F.lit(1)), total).first()
-    if n_groups <= BROADCAST_ROWS:
+    slim = groups.drop(weight) if weight else groups
+    if bound is not None and fits(bound, row_bytes):
+        return _attach_small(rows, slim, on, how)
+    groups, n_groups, n_rows = counted(groups, weight)
+    if fits(n_groups, row_bytes):
         return _attach_small(rows, groups.drop(weight) if weight else groups, on, how)
     if weight is None:
         raise ValueError("a large table of groups needs a weight to split heavy groups off")
-    return attach_split(rows, groups, on, weight, heavy_rows=max(1, int(n_rows * HEAVY_SHARE)), how=how)
+    share = max(HEAVY_SHARE, row_bytes / BROADCAST_BYTES)
+    return attach_split(rows, groups, on, weight, heavy_rows=max(1, int(n_rows * share)), how=how)
 
 
 def _attach_small(rows: DataFrame, groups: DataFrame, on: Sequence[str], how: str) -> DataFrame:
@@ -87,3 +100,20 @@ def attach_split(rows: DataFrame, groups: DataFrame, on: Sequence[str], weight:
         *[F.col(f"`{c}`") for c in rows.columns],
         *[F.when(served, F.col(f"__h_{c}")).otherwise(F.col(f"__l_{c}")).alias(c) for c in gains],
     )
+
+
+def on_each_row(df: DataFrame, by: Sequence[str], aggregates: Mapping[str, Column], *,
+                short_groups: bool = False, bound: int | None = None) -> DataFrame:
+    """Aggregates of the row's group, next to the row.
+
+    ``short_groups``: the caller knows that a group cannot grow with the data,
+    as with one row per site and hour grouped by site, month and hour (31 rows a
+    year).  Then one window does it in a single pass.  Otherwise groups may be
+    huge: they are aggregated (map side first) and attached.
+    """
+    if short_groups:
+        group = Window.partitionBy(*by)
+        return df.withColumns({name: c.over(group) for name, c in aggregates.items()})
+    groups = df.groupBy(*by).agg(*[c.alias(n) for n, c in aggregates.items()], F.count(F.lit(1)).alias("__weight"))
+    return attach(df, groups, by, bound=bound, weight="__weight")
+

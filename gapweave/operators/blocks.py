@@ -31,23 +31,21 @@ def block_of(time: Column, seconds: int) -> Column:
 
 
 def block_width(df: DataFrame, keys: Sequence[str], time: str, rows: int = BLOCK_ROWS) -> int:
-    """Widest block no series exceeds ``rows`` in.
+    """Widest block in which no series exceeds ``rows``.
 
-    Counts by hour first: nearly always that is enough and the table of counts
-    stays tiny.  Finer widths are looked at only when an hour is too full.
+    One pass counts hours and days; minutes and seconds are counted only when
+    an hour is too full.
     """
-    for fine, widths in ((3_600, (86_400, 3_600)), (1, (60, 1))):
-        fine_counts = df.groupBy(*keys, block_of(F.col(time), fine).alias("__b")).count()
-        fullest = []
-        for width in widths:
-            coarse = fine_counts.groupBy(*keys, (F.col("__b") - F.pmod("__b", F.lit(width))).alias("__w"))
-            fullest.append(coarse.agg(F.sum("count").alias("n")).agg(F.max("n").alias("n"))
-                           .withColumn("width", F.lit(width)))
-        seen = {r["width"]: r["n"] or 0 for r in fullest[0].unionByName(fullest[1]).collect()}
-        for width in widths:
-            if seen[width] <= rows:
-                return width
-    return 1
+    for coarse, fine in (BLOCK_SECONDS[:2], BLOCK_SECONDS[2:]):
+        counts = df.groupBy(*keys, block_of(F.col(time), fine).alias("__b")).agg(F.count(F.lit(1)).alias("n"))
+        wide = counts.groupBy(*keys, (F.col("__b") - F.pmod("__b", F.lit(coarse))).alias("__b")).agg(
+            F.sum("n").alias("coarse"), F.max("n").alias("fine"))
+        fullest = wide.agg(F.max("coarse"), F.max("fine")).first()
+        if (fullest[0] or 0) <= rows:
+            return coarse
+        if fullest[1] <= rows:
+            return fine
+    return BLOCK_SECONDS[-1]
 
 
 def _blocked(df: DataFrame, keys: Sequence[str], time: str, seconds: int | None) -> DataFrame:

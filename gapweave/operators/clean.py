@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gapweave.operators.attach import attach
+from gapweave.operators.attach import on_each_row
 
 # A reading is bad this many standard deviations below / above its group mean.
 LOWER_SD, UPPER_SD = 3.5, 3.0
@@ -17,15 +17,11 @@ BAD_HUMIDITY_PERIODS = ((2011, 4, 6), (2012, 6, 6), (2017, 3, 12))
 MONTH_HOUR_GROUPS = 13 * 25
 
 
-def group_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    return df.groupBy(*by).agg(
-        F.avg(value).alias(f"u_{value}"), F.stddev_samp(value).alias(f"sigma_{value}"),
-        F.count(F.lit(1)).alias("__weight"))
-
-
-def with_group_stats(df: DataFrame, by: Sequence[str], value: str, bound: int | None = None) -> DataFrame:
+def with_group_stats(df: DataFrame, by: Sequence[str], value: str, *, short_groups: bool = False,
+                     bound: int | None = None) -> DataFrame:
     """Mean and standard deviation of the row's group, next to the row."""
-    return attach(df, group_stats(df, by, value), by, bound=bound, weight="__weight")
+    stats = {f"u_{value}": F.avg(value), f"sigma_{value}": F.stddev_samp(value)}
+    return on_each_row(df, by, stats, short_groups=short_groups, bound=bound)
 
 
 def outlier_test(value: str, lower: float = LOWER_SD, upper: float = UPPER_SD) -> Column:
@@ -33,11 +29,11 @@ def outlier_test(value: str, lower: float = LOWER_SD, upper: float = UPPER_SD) -
     return (x < mean - lower * sd) | (x > mean + upper * sd)
 
 
-def flag_outliers(df: DataFrame, by: Sequence[str], value: str, into: str = "bad",
-                  bound: int | None = None) -> DataFrame:
+def flag_outliers(df: DataFrame, by: Sequence[str], value: str, into: str = "bad", *,
+                  short_groups: bool = False, bound: int | None = None) -> DataFrame:
     """``bad`` / ``good`` against the group climatology; a missing reading is good."""
     flag = F.when(outlier_test(value), "bad").otherwise("good")
-    return with_group_stats(df, by, value, bound).withColumn(into, flag)
+    return with_group_stats(df, by, value, short_groups=short_groups, bound=bound).withColumn(into, flag)
 
 
 def drop_flagged(value: str, flag: str = "bad") -> Column:
@@ -59,14 +55,15 @@ def mask_periods(df: DataFrame, value: str, year: str = "year", month: str = "mo
     return df.withColumn(value, F.when(~bad, F.col(value)))
 
 
-def anomaly(df: DataFrame, by: Sequence[str], value: str, bound: int | None = None) -> DataFrame:
+def anomaly(df: DataFrame, by: Sequence[str], value: str, *, short_groups: bool = False,
+            bound: int | None = None) -> DataFrame:
     """Strict group mean (``<value>_u``) and distance from it (``<value>_anom``)."""
-    from gapweave.functions.nullrules import strict_mean
-
-    means = df.groupBy(*by).agg(strict_mean(F.col(value)).alias(f"{value}_u"),
-                                F.count(F.lit(1)).alias("__weight"))
-    out = attach(df, means, by, bound=bound, weight="__weight")
-    return out.withColumn(f"{value}_anom", F.col(value) - F.col(f"{value}_u"))
+    x = F.col(value)
+    means = {"__mean": F.avg(x), "__present": F.count(x), "__rows": F.count(F.lit(1))}
+    out = on_each_row(df, by, means, short_groups=short_groups, bound=bound)
+    whole = F.when(F.col("__present") == F.col("__rows"), F.col("__mean"))
+    return (out.withColumn(f"{value}_u", whole).drop(*means)
+            .withColumn(f"{value}_anom", x - F.col(f"{value}_u")))
 
 
 def scale_units(df: DataFrame, factors: Mapping[str, float]) -> DataFrame:

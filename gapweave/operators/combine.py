@@ -51,8 +51,12 @@ def rows_not_in(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct rows of ``left`` absent from ``right`` (NULL equals NULL)."""
-    return left.subtract(right.select(*left.columns))
+    """Distinct rows of ``left`` absent from ``right`` (NULL equals NULL).
+
+    Copies are merged on both sides first, so a row with very many copies never
+    travels as such.
+    """
+    return left.distinct().subtract(right.select(*left.columns).distinct())
 
 
 def stack_rows(frames: Sequence[DataFrame], fill_missing: bool = False) -> DataFrame:

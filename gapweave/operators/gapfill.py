@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gapweave.functions import clock, moisture
 from gapweave.functions.nullrules import lenient_sum, strict_sum
-from gapweave.operators.attach import attach
+from gapweave.operators.attach import attach, on_each_row
 from gapweave.operators.combine import join_groups
 from gapweave.operators.quantiles import cumulative_share, quantiles
 
@@ -59,17 +59,16 @@ def quantile_map(full: DataFrame, overlap: DataFrame, by: Sequence[str], model:
                        quantiles(overlap, by, model, grid, "__q_mod", bound), by)
     ranked = cumulative_share(full, by, model, "__tau", bound)
     maps = join_groups(maps, full.groupBy(*by).agg(F.count(F.lit(1)).alias("__weight")), by)
-    ranked = attach(ranked, maps, by, bound=bound, weight="__weight")
+    ranked = attach(ranked, maps, by, bound=bound, weight="__weight", row_bytes=16 * nodes)
     shift = _interpolate(F.col("__q_obs"), F.col("__tau"), nodes) - _interpolate(F.col("__q_mod"), F.col("__tau"), nodes)
     return ranked.withColumn(into, F.col(model) + shift).drop("__tau", "__q_obs", "__q_mod")
 
 
-def fill_from_group_mean(df: DataFrame, by: Sequence[str], obs: str, pred: str, into: str,
-                         bound: int | None = None) -> DataFrame:
+def fill_from_group_mean(df: DataFrame, by: Sequence[str], obs: str, pred: str, into: str, *,
+                         short_groups: bool = False, bound: int | None = None) -> DataFrame:
     """Predict by covariate plus the group's mean offset from it, then fill."""
-    offset = df.groupBy(*by).agg(F.avg(F.col(obs) - F.col(pred)).alias("__offset"),
-                                 F.count(F.lit(1)).alias("__weight"))
-    out = attach(df, offset, by, bound=bound, weight="__weight")
+    offset = {"__offset": F.avg(F.col(obs) - F.col(pred))}
+    out = on_each_row(df, by, offset, short_groups=short_groups, bound=bound)
     out = out.withColumn(f"{obs}_pred", F.col(pred) + F.coalesce("__offset", F.lit(0.0))).drop("__offset")
     return fill(out, obs, f"{obs}_pred", into)
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gapweave.operators.attach import attach
+from gapweave.operators.attach import attach, counted
 from gapweave.operators.combine import join_groups
 
 #: Value blocks per group.
@@ -32,14 +32,15 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str, blocks: int = BL
     cuts = counts.groupBy(*keys).agg(
         F.array_distinct(F.percentile_approx(value, F.array(*[F.lit(p) for p in inner]), F.lit(100 * blocks))).alias("__cuts"),
         F.sum("n").alias("total"), F.count(F.lit(1)).alias("__weight"))
-    placed = attach(counts, cuts, keys, bound=bound, weight="__weight")
+    if bound is None:
+        cuts, bound, _ = counted(cuts)
+    placed = attach(counts, cuts, keys, bound=bound, weight="__weight", row_bytes=8 * blocks)
     placed = placed.withColumn("__block", F.size(F.filter("__cuts", lambda c: c < F.col(value)))).drop("__cuts")
 
     in_order = Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     sizes = placed.groupBy(*keys, "__block").agg(F.sum("n").alias("__in"), F.count(F.lit(1)).alias("__weight"))
     sizes = sizes.select(*keys, "__block", "__weight", F.coalesce(F.sum("__in").over(in_order), F.lit(0)).alias("__before"))
-    limit = None if bound is None else bound * blocks
-    placed = attach(placed, sizes, [*keys, "__block"], bound=limit, weight="__weight")
+    placed = attach(placed, sizes, [*keys, "__block"], bound=bound * blocks, weight="__weight")
     inside = Window.partitionBy(*keys, "__block").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     upto = F.col("__before") + F.sum("n").over(inside)
     return (placed.withColumn("upto", upto).withColumn("below", F.col("upto") - F.col("n"))

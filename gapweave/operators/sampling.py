@@ -16,8 +16,10 @@ from gapweave.operators.attach import attach
 
 #: Calendar months a four-digit year can name.
 MONTHS = 12 * 10_000
-#: Leading hex digits used as a coarse scale of the hash (65,536 steps).
+#: Hex digits of the hash looked at per counting pass (65,536 steps).
 _DIGITS = 4
+#: A step with no more rows than this is sorted instead of counted further.
+_SORT_ROWS = 100_000
 
 
 def draw(keys: Sequence[str], seed: int) -> Column:
@@ -31,32 +33,45 @@ def take_fraction(df: DataFrame, fraction: float, keys: Sequence[str], seed: int
     return df.where(F.substring(draw(keys, seed), 1, 8) < limit)
 
 
+def draw_limit(df: DataFrame, keys: Sequence[str], seed: int, *, n: int | None = None,
+               fraction: float | None = None) -> str:
+    """Hash of the ``n``-th row (or ``floor(fraction * rows)``-th) in hash order; empty text for none.
+
+    The hash is counted on a coarse scale, then the step holding the n-th row
+    on a finer one, until few rows are left to sort.  Three passes reach one
+    row in 10^14; each shuffles at most 65,536 counts per task.
+    """
+    drawn = df.select(draw(keys, seed).alias("draw"))
+    prefix, left = "", n
+    while True:
+        step = F.substring("draw", 1, len(prefix) + _DIGITS)
+        counts = drawn.where(F.col("draw").startswith(prefix)).groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("c"))
+        # 65,536 rows at the most
+        counts = counts.withColumn("upto", F.sum("c").over(Window.orderBy("step"))).persist()
+        total = counts.agg(F.max("upto")).first()[0] or 0
+        if left is None:
+            left = int(fraction * total)
+        left = min(left, total)
+        edge = counts.where(F.col("upto") >= left).orderBy("step").first() if left > 0 else None
+        counts.unpersist()
+        if edge is None:
+            return ""
+        left -= edge["upto"] - edge["c"]
+        prefix = edge["step"]
+        if edge["c"] <= _SORT_ROWS or len(prefix) >= 32:
+            break
+    last = drawn.where(F.col("draw").startswith(prefix)).orderBy("draw").limit(left)
+    return last.agg(F.max("draw")).first()[0]
+
+
 def mark_exactly(df: DataFrame, keys: Sequence[str], seed: int, *, n: int | None = None,
                  fraction: float | None = None, into: str = "chosen") -> DataFrame:
     """Mark exactly ``n`` rows (or ``floor(fraction * rows)``) by hash order.
 
-    The hash is counted on a coarse scale first, which tells the step in which
-    the n-th row lies; only the rows of that one step (1/65,536 of all) are
-    sorted.  ``keys`` should identify a row.
+    ``keys`` identify a row; rows that share a key share their fate.  The rows
+    themselves are not shuffled.
     """
-    df = df.withColumn("__draw", draw(keys, seed))
-    step = F.substring("__draw", 1, _DIGITS)
-    counts = df.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("c")).persist()
-    total = counts.agg(F.sum("c")).first()[0] or 0
-    wanted = min(total, int(fraction * total) if n is None else n)
-    # 65,536 rows at the most
-    upto = counts.withColumn("upto", F.sum("c").over(Window.orderBy("step")))
-    edge = upto.where(F.col("upto") >= wanted).orderBy("step").first()
-    counts.unpersist()
-    if edge is None or wanted == 0:
-        return df.withColumn(into, F.lit(wanted > 0)).drop("__draw")
-    left = wanted - (edge["upto"] - edge["c"])
-    below, inside = df.where(step < edge["step"]), df.where(step == edge["step"])
-    place = F.row_number().over(Window.partitionBy(step).orderBy("__draw"))
-    return (below.withColumn(into, F.lit(True))
-            .unionByName(inside.withColumn(into, place <= left))
-            .unionByName(df.where(step > edge["step"]).withColumn(into, F.lit(False)))
-            .drop("__draw"))
+    return df.withColumn(into, draw(keys, seed) <= F.lit(draw_limit(df, keys, seed, n=n, fraction=fraction)))
 
 
 def take_exactly(df: DataFrame, n: int, keys: Sequence[str], seed: int) -> DataFrame:

@@ -62,4 +62,4 @@ def model_frame(covariate: DataFrame, station: DataFrame) -> DataFrame:
     t = F.col("time_local")
     df = df.withColumns({"date": F.to_date(t), "year": F.year(t), "month": F.month(t), "hour": F.hour(t),
                          "ddate": clock.decimal_year(t)})
-    return clean.anomaly(df, ["site", "month", "hour"], "e5_t2m")
+    return clean.anomaly(df, ["site", "month", "hour"], "e5_t2m", short_groups=True)

@@ -38,9 +38,9 @@ FROM masked JOIN offsets ON masked.site IS NOT DISTINCT FROM offsets.site AND ho
 def hourly_gapfill(t: Tables) -> DataFrame:
     """Hourly means, outlier flag by site and hour, flagged readings nulled, gaps filled from a covariate."""
     df = sensors(t).withColumn("hour", F.hour("time"))
-    df = clean.flag_outliers(df, ["site", "hour"], "t28m")
+    df = clean.flag_outliers(df, ["site", "hour"], "t28m", short_groups=True)
     df = df.withColumn("t28m", clean.drop_flagged("t28m"))
-    df = fill_from_group_mean(df, ["site", "hour"], "t28m", "e5_t2m", "t28m_gf")
+    df = fill_from_group_mean(df, ["site", "hour"], "t28m", "e5_t2m", "t28m_gf", short_groups=True)
     return df.select("site", "time", "hour", "t28m", "e5_t2m", "bad", "t28m_pred", "t28m_gf", "gapfill")
 
 

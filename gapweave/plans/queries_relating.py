@@ -86,7 +86,7 @@ WITH {SENSOR_HOURS} SELECT site, time, e5_t2m, e5_t2m_u, e5_t2m - e5_t2m_u AS e5
 def anomaly(t: Tables) -> DataFrame:
     """Distance from the strict month-by-hour mean of the site."""
     df = sensors(t).withColumns({"month": F.month("time"), "hour": F.hour("time")})
-    return clean.anomaly(df, ["site", "month", "hour"], "e5_t2m").select("site", "time", "e5_t2m", "e5_t2m_u", "e5_t2m_anom")
+    return clean.anomaly(df, ["site", "month", "hour"], "e5_t2m", short_groups=True).select("site", "time", "e5_t2m", "e5_t2m_u", "e5_t2m_anom")
 
 
 @query(f"""

@@ -35,7 +35,10 @@ def write_csv(df: DataFrame, path: str, *, run_date: dt.date | None = None, stam
 
 
 def write_grid(df: DataFrame, path: str) -> None:
-    """Grid rows by variable, cells together, so a cell filter skips row groups."""
-    (df.repartition("variable", F.floor(F.col("lon")), F.floor(F.col("lat")))
-     .sortWithinPartitions("lon", "lat", "time_hours")
+    """Grid rows by variable, cells together, so a cell filter skips row groups.
+
+    Range partitioning goes on into time, so a cell with very many rows is cut.
+    """
+    by = ["variable", "lon", "lat", "time_hours"]
+    (df.repartitionByRange(*by).sortWithinPartitions(*by)
      .write.mode("overwrite").partitionBy("variable").parquet(path))
