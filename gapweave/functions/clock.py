@@ -7,8 +7,6 @@ on the session time zone.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,8 +15,10 @@ from pyspark.sql import functions as F
 LOCAL_OFFSET_HOURS = -3
 GRID_EPOCH = "1900-01-01 00:00:00"
 
-# Clock spellings found in sensor logs, tried in this order.
-CLOCK_PATTERNS = ("H:m", "H:m:s")
+# Spellings of clock times in sensor logs (hours and minutes,
+# seconds or not) and of the digits that lead an exported record id.
+CLOCK_SPELLING = r"^\s*(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?\s*$"
+STAMP_SPELLING = r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})"
 
 
 def add(unit: str, amount: Column | int, time: Column) -> Column:
@@ -87,27 +87,28 @@ def full_year(year: Column, pivot: int = 2000) -> Column:
     return F.when(year < pivot, year + pivot).otherwise(year)
 
 
-def parse_first(text: Column, patterns: Sequence[str]) -> Column:
-    """First pattern that fits ``text``, else NULL."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in patterns]).cast("timestamp_ntz")
+def _piece(text: Column, spelling: str, group: int) -> Column:
+    """Number in a group of ``spelling``; NULL where the text does not fit or the group is empty."""
+    return F.regexp_extract(text, spelling, group).try_cast("int")
 
 
-def from_clock_text(day: Column, clock: Column, patterns: Sequence[str] = CLOCK_PATTERNS) -> Column:
-    """Timestamp from a date and a clock text such as ``7:30`` or ``07:30:05``."""
-    text = F.concat_ws(" ", day.cast("string"), clock)
-    return parse_first(text, [f"yyyy-MM-dd {p}" for p in patterns])
+def from_clock_text(day: Column, clock: Column) -> Column:
+    """Timestamp from a date and a clock text such as ``7:30`` or ``07:30:05``; NULL if unreadable."""
+    second = F.coalesce(_piece(clock, CLOCK_SPELLING, 3), F.lit(0))
+    return from_parts(F.year(day), F.month(day), F.dayofmonth(day),
+                      _piece(clock, CLOCK_SPELLING, 1), _piece(clock, CLOCK_SPELLING, 2), second)
 
 
-def from_stamp_prefix(text: Column, length: int = 14, pattern: str = "yyyyMMddHHmmss") -> Column:
-    """Timestamp from the digits that lead an exported record id."""
-    return F.try_to_timestamp(F.substring(text, 1, length), F.lit(pattern)).cast("timestamp_ntz")
+def from_stamp_prefix(text: Column) -> Column:
+    """Timestamp from the fourteen digits that lead an exported record id."""
+    return from_parts(*[_piece(text, STAMP_SPELLING, i) for i in range(1, 7)])
 
 
 def from_grid_hours(hours: Column, lead_hours: Column | None = None, epoch: str = GRID_EPOCH) -> Column:
     """Timestamp from hours since the archive origin, plus an optional (fractional) lead."""
-    seconds = F.round(hours * 3600)
+    seconds = F.round(hours.cast("double") * 3600)
     if lead_hours is not None:
-        seconds = seconds + F.round(lead_hours * 3600)
+        seconds = seconds + F.round(lead_hours.cast("double") * 3600)
     return add("SECOND", seconds.cast("bigint"), F.lit(epoch).cast("timestamp_ntz"))
 
 

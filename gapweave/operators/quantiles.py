@@ -34,6 +34,8 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str, blocks: int = BL
         F.sum("n").alias("total"), F.count(F.lit(1)).alias("__weight"))
     if bound is None:
         cuts, bound, _ = counted(cuts)
+    else:
+        cuts = cuts.persist()  # used twice below
     placed = attach(counts, cuts, keys, bound=bound, weight="__weight", row_bytes=8 * blocks)
     placed = placed.withColumn("__block", F.size(F.filter("__cuts", lambda c: c < F.col(value)))).drop("__cuts")
 

@@ -14,7 +14,12 @@ from gapweave.operators.aggregate import daily_stats
 
 #: Calendar and key columns that are no daily values.
 _NOT_VALUES = ("year", "month", "day", "hour", "ddate")
-STAT_CODE = F.when(F.col("stat") == "min", 0.0).when(F.col("stat") == "mean", 1.0).otherwise(2.0)
+
+
+def with_stat_code(days: DataFrame) -> DataFrame:
+    """The statistic as a number, for the trees."""
+    code = F.when(F.col("stat") == "min", 0.0).when(F.col("stat") == "mean", 1.0).otherwise(2.0)
+    return days.withColumn("stat_code", code)
 
 
 def complete_days(frame: DataFrame, target: str, n: int = 24, day: Sequence[str] = ("site", "date")) -> DataFrame:
@@ -33,15 +38,15 @@ def daily(frame: DataFrame, values: Sequence[str] | None = None) -> DataFrame:
     return daily_stats(frame, ["site", "date"], values).withColumn("month", F.month("date"))
 
 
-def run(frame: DataFrame, target: str = "t28m", seed: int = models.SEED, **search):
+def run(frame: DataFrame, target: str = "t28m", *, hours: int = 24, values: Sequence[str] | None = None,
+        seed: int = models.SEED, **search) -> tuple[DataFrame, models.Search]:
     """Fit on complete days, predict all days.  Returns the product and the search."""
-    days = daily(complete_days(frame, target))
-    split = sampling.block_split(days, "date", ["site", "date", "stat"], seed)
-    split = split.withColumn("stat_code", STAT_CODE)
-    checks.require_some_finite(split.where("part = 'train'"), target)
-    inputs = naming.covariates(days.columns, extra=("month", "stat_code"))
+    days = with_stat_code(daily(complete_days(frame, target, hours), values))
+    split = sampling.block_split(days, "date", ["site", "date", "stat"], seed).persist()
     train = models.usable(split.where("part = 'train'"), target, "train")
+    checks.require_some_finite(train, target)
+    inputs = naming.covariates(days.columns, extra=("month", "stat_code"))
     found = models.search_boosted(train, target, inputs, **search)
-    everything = daily(frame).withColumn("stat_code", STAT_CODE)
-    out = models.score(found.best, everything, f"pred_{target}", inputs)
+    split.unpersist()
+    out = models.score(found.best, with_stat_code(daily(frame, values)), f"pred_{target}", inputs)
     return out.select("site", "date", "stat", f"pred_{target}", target), found

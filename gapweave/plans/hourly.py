@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from gapweave.functions import naming
@@ -29,7 +31,14 @@ def fit_targets(split: DataFrame, targets: Sequence[str] = layouts.TARGETS, same
     train = split.where("part = 'train'")
     if same_rows_as:
         train = train.where(train[same_rows_as].isNotNull())
-    return {t: models.search_boosted(models.usable(train, t, "train"), t, inputs, **search) for t in targets}
+
+    def search_one(target: str) -> models.Search:
+        return models.search_boosted(models.usable(train, target, "train"), target, inputs, **search)
+
+    # searches of different targets do not depend on each other; Spark runs their jobs side by side
+    with ThreadPool(min(len(targets), 4)) as pool:
+        found = pool.map(inheritable_thread_target(train.sparkSession)(search_one), targets)
+    return dict(zip(targets, found))
 
 
 def predict(frame: DataFrame, fitted: Mapping[str, models.Search]) -> DataFrame:

@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gapweave.functions import naming
-from gapweave.functions.nullrules import numeric_columns
 from gapweave.operators import evaluate, gapfill, models, sampling
 from gapweave.plans import daily as daily_plan
 from gapweave.plans import frame, hourly
 from gapweave.plans.catalog import Tables, query
-from gapweave.plans.standin import (SENSOR_HOURS, covariate_inputs, model_days, model_slots, sensors)
+from gapweave.plans.standin import SENSOR_HOURS, covariate_inputs, model_days, model_slots, sensors
 
 
 def _guard(how: str, x: str, n: int, order: str) -> str:
@@ -95,16 +94,8 @@ def hourly_skill(t: Tables) -> DataFrame:
 @query()
 def daily_product(t: Tables) -> DataFrame:
     """Fit on complete days, predict min, mean and max of all days."""
-    slots = model_slots(t).persist()
-    days = daily_plan.complete_days(slots, "t28m", n=5)
-    values = numeric_columns(slots)
-    split = sampling.block_split(daily_plan.daily(days, values), "date", ["site", "date", "stat"], models.SEED)
-    split = split.withColumn("stat_code", daily_plan.STAT_CODE)
-    inputs = naming.covariates(values, extra=("month", "stat_code"))
-    found = models.search_boosted(models.usable(split.where("part = 'train'"), "t28m", "train"), "t28m", inputs,
-                                  depths=(3,), trees=8, folds=2)
-    everything = daily_plan.daily(slots, values).withColumn("stat_code", daily_plan.STAT_CODE)
-    return models.score(found.best, everything, "pred_t28m", inputs).select("site", "date", "stat", "pred_t28m", "t28m")
+    out, _ = daily_plan.run(model_slots(t).persist(), hours=5, depths=(3,), trees=8, folds=2)
+    return out
 
 
 @query()
@@ -129,44 +120,56 @@ def linear_search(t: Tables) -> DataFrame:
 
 
 def _smooth_terms(df: DataFrame) -> dict[str, dict]:
-    hour, warm = models.cyclic("hour", 24), models.spline("e5_t2m", models.knots(df, "e5_t2m"))
+    calendar = {**models.cyclic("month", 12), **models.cyclic("hour", 7)}
+    warm = models.spline("e5_t2m", models.knots(df, "e5_t2m"))
     wind = models.spline("e5_ws", models.knots(df, "e5_ws", 3))
-    return {"hour": hour, "hour_warm": {**hour, **warm}, "hour_warm_wind": {**hour, **warm, **wind},
-            "warm_by_wind": {**hour, **models.tensor(warm, wind)}}
+    return {"calendar": calendar, "calendar_warm": {**calendar, **warm}, "calendar_warm_wind": {**calendar, **warm, **wind},
+            "warm_by_wind": {**calendar, **models.tensor(warm, wind)}}
 
 
-def _complete_sensors(t: Tables) -> DataFrame:
-    return (sensors(t).withColumn("hour", F.hour("time"))
-            .where("e5_t2m IS NOT NULL AND e5_ws IS NOT NULL").select("site", "time", "hour", "t28m", "e5_t2m", "e5_ws"))
+def _gappy_days(t: Tables) -> DataFrame:
+    """Complete covariates, a target that is missing on some days."""
+    df = model_days(t).select("site", "date", "month", "hour", "t28m", "e5_t2m", "e5_ws", "g_p")
+    return df.withColumn("t28m", F.when(F.col("g_p") > 0.045, F.col("t28m"))).drop("g_p")
 
 
 @query()
 def smooth_models_by_aic(t: Tables) -> DataFrame:
     """Smooth additive models of growing size, ranked by Akaike's criterion."""
-    data = _complete_sensors(t).persist()
-    variants = _smooth_terms(data)
+    data = _gappy_days(t).persist()
     train = models.usable(data, "t28m", "train")
-    fitted = {n: models.fit_general(models.with_terms(train, v), "t28m", list(v), ridge=1e-6) for n, v in variants.items()}
+    fitted = {n: models.fit_general(models.with_terms(train, v), "t28m", list(v), ridge=1e-6)
+              for n, v in _smooth_terms(data).items()}
     return models.rank_by_aic(t.spark, fitted)
 
 
 @query()
 def smooth_gapfill(t: Tables) -> DataFrame:
     """Smooth additive model trained on three tenths of the rows, used to fill the gaps."""
-    data = _complete_sensors(t).persist()
-    terms = _smooth_terms(data)["hour_warm"]
+    data = _gappy_days(t).persist()
+    terms = _smooth_terms(data)["calendar_warm"]
     whole = models.with_terms(data, terms)
-    train = sampling.take_fraction(models.usable(whole, "t28m", "train"), 0.3, ["site", "time"], models.SEED)
+    train = sampling.take_fraction(models.usable(whole, "t28m", "train"), 0.3, ["site", "date"], models.SEED)
     model = models.fit_general(train, "t28m", list(terms), ridge=1e-6)
     scored = models.score(model, whole, "t28m_pred", list(terms))
-    return gapfill.fill(scored, "t28m", "t28m_pred", "t28m_gf").select("site", "time", "t28m", "t28m_pred", "t28m_gf", "gapfill")
+    return gapfill.fill(scored, "t28m", "t28m_pred", "t28m_gf").select("site", "date", "t28m", "t28m_pred", "t28m_gf", "gapfill")
+
+
+@query()
+def expectation_model(t: Tables) -> DataFrame:
+    """Expected value from the calendar and a straight line over the years, by site and year."""
+    data = model_days(t).select("site", "year", "month", "hour", "t28m").persist()
+    terms = {**models.cyclic("month", 12), **models.cyclic("hour", 7), "year_line": F.col("year") - 1998}
+    whole = models.with_terms(data, terms)
+    model = models.fit_general(models.usable(whole, "t28m", "train"), "t28m", list(terms))
+    return evaluate.skill(models.score(model, whole, "pred", list(terms)), "t28m", "pred", ["site", "year"])
 
 
 @query()
 def gamma_skill(t: Tables) -> DataFrame:
     """Gamma regression with log link, in-sample skill by site."""
-    data = _complete_sensors(t)
-    terms = _smooth_terms(data)["hour_warm"]
+    data = _gappy_days(t).persist()
+    terms = _smooth_terms(data)["calendar_warm"]
     train = models.with_terms(models.usable(data, "t28m", "train"), terms)
     model = models.fit_general(train, "t28m", list(terms), family="gamma", link="log", ridge=1e-4)
     return evaluate.skill(models.score(model, train, "pred", list(terms)), "t28m", "pred", ["site"])

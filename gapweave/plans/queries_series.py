@@ -126,14 +126,13 @@ def yearly_quantiles(t: Tables) -> DataFrame:
 
 
 @query(f"""
-WITH {SHIPMENTS} SELECT y, n, upto - n AS below, upto, total FROM (
-  SELECT y, n, (sum(n) OVER (ORDER BY y))::BIGINT AS upto, (sum(n) OVER ())::BIGINT AS total
-  FROM (SELECT y, count(*) AS n FROM shipments GROUP BY y))
+WITH {SHIPMENTS} SELECT site, y, n, upto - n AS below, upto, total FROM (
+  SELECT site, y, n, (sum(n) OVER (PARTITION BY site ORDER BY y))::BIGINT AS upto, (sum(n) OVER (PARTITION BY site))::BIGINT AS total
+  FROM (SELECT site, y, count(*) AS n FROM shipments GROUP BY site, y))
 """)
 def value_ranks(t: Tables) -> DataFrame:
-    """Heavily repeated values: ranks of the distinct values of one group."""
-    df = shipments(t).withColumn("all_sites", F.lit("all"))
-    return quantiles.value_ranks(df, ["all_sites"], "y", bound=1).drop("all_sites")
+    """Heavily repeated values: ranks of the distinct values of each group."""
+    return quantiles.value_ranks(shipments(t), ["site"], "y")
 
 
 # --- grids ------------------------------------------------------------------
