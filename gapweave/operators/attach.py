@@ -52,6 +52,11 @@ def counted(groups: DataFrame, weight: str | None = None) -> tuple[DataFrame, in
     return groups, n_groups, n_rows or 0
 
 
+def largest_group(df: DataFrame, by: Sequence[str]) -> int:
+    """Rows of the largest group: counts are combined map side, one number comes back."""
+    return df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+
+
 def attach(rows: DataFrame, groups: DataFrame, on: Sequence[str], *, how: str = "left",
            bound: int | None = None, weight: str | None = None, row_bytes: int = 100) -> DataFrame:
     """Join ``groups`` (unique on ``on``; NULL keys match NULL) to ``rows``.

@@ -1,12 +1,13 @@
 """Order-dependent operators on series of any length.
 
-A window over a whole series puts that series into one task.  Here a series is
-cut into blocks of time: each block is summarised, the short table of blocks is
-scanned to find what precedes every block, and that is brought back to the rows.
-Only rows of one block ever share a task.
+A window over a whole series puts that series into one task.  So the longest
+series is measured first: while it fits, plain windows are used.  Beyond that a
+series is cut into blocks of time: each block is summarised, the short table of
+blocks is scanned to find what precedes every block, and that is brought back
+to the rows.  Only rows of one block ever share a task.
 
 A series that holds one row per hour is short by the calendar (8,784 rows a
-year) and does not need this; see ``rolling``.
+year) and needs no measuring; see ``rolling``.
 """
 
 from __future__ import annotations
@@ -17,9 +18,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gapweave.functions import clock
-from gapweave.operators.attach import attach
+from gapweave.operators.attach import attach, largest_group
+from gapweave.operators.rolling import frame_columns
 
-#: Widest block, in rows, that one task is asked to sort.
+#: Longest series or block, in rows, that one task is asked to sort.
 BLOCK_ROWS = 4_000_000
 #: Block widths to choose from, widest first, in seconds.
 BLOCK_SECONDS = (86_400, 3_600, 60, 1)
@@ -48,6 +50,11 @@ def block_width(df: DataFrame, keys: Sequence[str], time: str, rows: int = BLOCK
     return BLOCK_SECONDS[-1]
 
 
+def _whole_series(df: DataFrame, keys: Sequence[str], seconds: int | None) -> bool:
+    """May a task take a whole series?  Never when the caller sets a block width."""
+    return seconds is None and largest_group(df, keys) <= BLOCK_ROWS
+
+
 def _blocked(df: DataFrame, keys: Sequence[str], time: str, seconds: int | None) -> DataFrame:
     seconds = block_width(df, keys, time) if seconds is None else seconds
     return df.withColumn("__block", block_of(F.col(time), seconds))
@@ -77,6 +84,8 @@ def _before(keys: Sequence[str]):
 def row_index(df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str] = (), *,
               into: str = "idx", block_seconds: int | None = None) -> DataFrame:
     """1-based position of every row in its series."""
+    if _whole_series(df, keys, block_seconds):
+        return df.withColumn(into, F.row_number().over(Window.partitionBy(*keys).orderBy(*_order(time, ties))).cast("bigint"))
     df = _blocked(df, keys, time, block_seconds)
     df = _with_history(df, keys, {"__n": F.count(F.lit(1))},
                        {"__before": F.coalesce(F.sum("__n").over(_before(keys)), F.lit(0))})
@@ -88,6 +97,9 @@ def row_index(df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str]
 def running_sum(df: DataFrame, keys: Sequence[str], time: str, value: str, ties: Sequence[str] = (), *,
                 into: str = "running", block_seconds: int | None = None) -> DataFrame:
     """Sum of ``value`` from the start of the series up to each row."""
+    if _whole_series(df, keys, block_seconds):
+        upto = Window.partitionBy(*keys).orderBy(*_order(time, ties)).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(into, F.sum(value).over(upto))
     df = _blocked(df, keys, time, block_seconds)
     df = _with_history(df, keys, {"__s": F.sum(value)}, {"__before": F.sum("__s").over(_before(keys))})
     inside = (Window.partitionBy(*keys, "__block").orderBy(*_order(time, ties))
@@ -105,6 +117,19 @@ def previous(df: DataFrame, keys: Sequence[str], time: str, values: Sequence[str
     ``difference`` maps a value to the name of its step; the first row of a
     series has a NULL predecessor and a step of 0.
     """
+    if _whole_series(df, keys, block_seconds):
+        inside = Window.partitionBy(*keys).orderBy(*_order(time, ties))
+        df = df.withColumns({"__first": F.row_number().over(inside) == 1,
+                             **{v + marks: F.lag(v).over(inside) for v in values}})
+    else:
+        df = _previous_in_blocks(df, keys, time, values, ties, marks, block_seconds)
+    for v, name in (difference or {}).items():
+        df = df.withColumn(name, F.when(F.col("__first"), F.lit(0.0)).otherwise(F.col(v) - F.col(v + marks)))
+    return df.drop("__first")
+
+
+def _previous_in_blocks(df: DataFrame, keys: Sequence[str], time: str, values: Sequence[str], ties: Sequence[str],
+                        marks: str, block_seconds: int | None) -> DataFrame:
     df = _blocked(df, keys, time, block_seconds)
     place = F.struct(F.col(time), *[F.col(c) for c in ties])
     order = _in_order(keys)
@@ -114,13 +139,10 @@ def previous(df: DataFrame, keys: Sequence[str], time: str, values: Sequence[str
          **{f"__prev_{v}": F.lag(f"__last_{v}").over(order) for v in values}})
     inside = Window.partitionBy(*keys, "__block").orderBy(*_order(time, ties))
     first_here = F.row_number().over(inside) == 1
-    df = df.withColumns({
+    return df.withColumns({
         "__first": first_here & F.col("__opens"),
         **{v + marks: F.when(first_here, F.col(f"__prev_{v}")).otherwise(F.lag(v).over(inside)) for v in values},
-    })
-    for v, name in (difference or {}).items():
-        df = df.withColumn(name, F.when(F.col("__first"), F.lit(0.0)).otherwise(F.col(v) - F.col(v + marks)))
-    return df.drop("__block", "__opens", "__first", *[f"__prev_{v}" for v in values])
+    }).drop("__block", "__opens", *[f"__prev_{v}" for v in values])
 
 
 def chunked(df: DataFrame, keys: Sequence[str], time: str, longest: int, ties: Sequence[str] = (), *,
@@ -132,10 +154,8 @@ def chunked(df: DataFrame, keys: Sequence[str], time: str, longest: int, ties: S
     """
     size = max(chunk_rows, longest)
     df = row_index(df, keys, time, ties, into="__pos", block_seconds=block_seconds)
-    home = F.floor((F.col("__pos") - 1) / size)
-    into_chunk = (F.col("__pos") - 1) % size
-    lends = into_chunk >= size - (longest - 1)
-    df = df.withColumn("__home", home)
+    df = df.withColumn("__home", F.floor((F.col("__pos") - 1) / size))
+    lends = (F.col("__pos") - 1) % size >= size - (longest - 1)
     df = df.withColumn("__chunk", F.explode(
         F.when(lends, F.array(F.col("__home"), F.col("__home") + 1)).otherwise(F.array(F.col("__home")))))
     return df.withColumn("__own", F.col("__chunk") == F.col("__home")).drop("__home")
@@ -144,8 +164,8 @@ def chunked(df: DataFrame, keys: Sequence[str], time: str, longest: int, ties: S
 def roll(df: DataFrame, keys: Sequence[str], time: str, frames: Mapping[str, tuple[str, str, int]],
          ties: Sequence[str] = (), *, chunk_rows: int = 1_000_000, block_seconds: int | None = None) -> DataFrame:
     """Guarded trailing frames over raw rows: ``{name: (value, sum|avg|max|min, n)}``."""
-    from gapweave.operators.rolling import frame_columns
-
+    if _whole_series(df, keys, block_seconds):
+        return df.withColumns(frame_columns(Window.partitionBy(*keys).orderBy(*_order(time, ties)), frames))
     longest = max(n for _, _, n in frames.values())
     cut = chunked(df, keys, time, longest, ties, chunk_rows=chunk_rows, block_seconds=block_seconds)
     order = Window.partitionBy(*keys, "__chunk").orderBy("__pos")

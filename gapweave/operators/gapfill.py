@@ -55,8 +55,7 @@ def quantile_map(full: DataFrame, overlap: DataFrame, by: Sequence[str], model:
     ``overlap`` holds the rows with both values.
     """
     grid = [i / (nodes - 1) for i in range(nodes)]
-    maps = join_groups(quantiles(overlap, by, obs, grid, "__q_obs", bound),
-                       quantiles(overlap, by, model, grid, "__q_mod", bound), by)
+    maps = quantiles(overlap, by, {"__q_obs": obs, "__q_mod": model}, grid, bound)
     ranked = cumulative_share(full, by, model, "__tau", bound)
     maps = join_groups(maps, full.groupBy(*by).agg(F.count(F.lit(1)).alias("__weight")), by)
     ranked = attach(ranked, maps, by, bound=bound, weight="__weight", row_bytes=16 * nodes)

@@ -1,22 +1,26 @@
 """Exact ranks and quantiles of groups of any size.
 
-``percentile`` keeps every distinct value of a group in one task.  Here equal
-values are merged first, approximate quantiles cut each group's values into
-blocks of similar size, blocks are counted, and a value's rank is the count of
-the blocks below it plus its rank within its block.
+``percentile`` and ``cume_dist`` keep a whole group in one task.  They are used
+while the largest group, which is measured first, fits one.  Beyond that equal
+values are merged, approximate quantiles cut each group's values into blocks of
+similar size, blocks are counted, and a value's rank is the count of the blocks
+below it plus its rank within its block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gapweave.operators.attach import attach, counted
+from gapweave.operators.attach import attach, counted, largest_group
 from gapweave.operators.combine import join_groups
 
-#: Value blocks per group.
+#: Largest group, in rows, that one task is asked to sort.
+GROUP_ROWS = 2_000_000
+#: Value blocks per larger group.
 BLOCKS = 64
 
 
@@ -51,7 +55,11 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str, blocks: int = BL
 
 def cumulative_share(df: DataFrame, keys: Sequence[str], value: str, into: str = "tau",
                      bound: int | None = None) -> DataFrame:
-    """Share of the group's values that are not above the row's value."""
+    """Share of the group's values that are not above the row's value; NULL for a missing value."""
+    if largest_group(df, keys) <= GROUP_ROWS:
+        held = F.col(value).isNotNull()
+        group = Window.partitionBy(*keys, held).orderBy(value)
+        return df.withColumn(into, F.when(held, F.cume_dist().over(group)))
     ranks = value_ranks(df, keys, value, bound=bound)
     ranks = ranks.select(*keys, value, (F.col("upto") / F.col("total")).alias(into), F.col("n").alias("__weight"))
     return attach(df, ranks, [*keys, value], weight="__weight")
@@ -61,9 +69,19 @@ def _position(p: Column) -> Column:
     return p * (F.col("total") - 1)
 
 
-def quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float],
-              into: str = "quantiles", bound: int | None = None) -> DataFrame:
-    """Array of exact quantiles per group, linear between order statistics."""
+def quantiles(df: DataFrame, keys: Sequence[str], values: Mapping[str, str], probabilities: Sequence[float],
+              bound: int | None = None) -> DataFrame:
+    """Arrays of exact quantiles per group, linear between order statistics: ``{name: value}``."""
+    if largest_group(df, keys) <= GROUP_ROWS:
+        nodes = F.array(*[F.lit(float(p)) for p in probabilities])
+        return df.groupBy(*keys).agg(*[F.percentile(v, nodes).alias(name) for name, v in values.items()])
+    return reduce(lambda a, b: join_groups(a, b, keys),
+                  [_quantiles_by_rank(df, keys, v, probabilities, name, bound) for name, v in values.items()],
+                  df.select(*keys).distinct())
+
+
+def _quantiles_by_rank(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], into: str,
+                       bound: int | None) -> DataFrame:
     ranks = value_ranks(df, keys, value, bound=bound)
     nodes = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probabilities)])
 
@@ -92,7 +110,7 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Seq
 
 def five_numbers(df: DataFrame, keys: Sequence[str], value: str, bound: int | None = None) -> DataFrame:
     """Min, quartiles, max, mean and missing count per group."""
-    q = quantiles(df, keys, value, (0.0, 0.25, 0.5, 0.75, 1.0), "__q", bound)
+    q = quantiles(df, keys, {"__q": value}, (0.0, 0.25, 0.5, 0.75, 1.0), bound)
     names = ("q_min", "q1", "q_median", "q3", "q_max")
     rest = df.groupBy(*keys).agg(F.avg(value).alias("q_mean"), F.count_if(F.col(value).isNull()).alias("n_null"))
     out = join_groups(rest, q, keys)

@@ -46,19 +46,18 @@ def draw_limit(df: DataFrame, keys: Sequence[str], seed: int, *, n: int | None =
     while True:
         step = F.substring("draw", 1, len(prefix) + _DIGITS)
         counts = drawn.where(F.col("draw").startswith(prefix)).groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("c"))
-        # 65,536 rows at the most
-        counts = counts.withColumn("upto", F.sum("c").over(Window.orderBy("step"))).persist()
-        total = counts.agg(F.max("upto")).first()[0] or 0
+        steps = sorted(counts.collect())  # 65,536 at the most
         if left is None:
-            left = int(fraction * total)
-        left = min(left, total)
-        edge = counts.where(F.col("upto") >= left).orderBy("step").first() if left > 0 else None
-        counts.unpersist()
-        if edge is None:
+            left = int(fraction * sum(c for _, c in steps))
+        left = min(left, sum(c for _, c in steps))
+        if left <= 0:
             return ""
-        left -= edge["upto"] - edge["c"]
-        prefix = edge["step"]
-        if edge["c"] <= _SORT_ROWS or len(prefix) >= 32:
+        for edge, c in steps:
+            if left <= c:
+                break
+            left -= c
+        prefix = edge
+        if c <= _SORT_ROWS or len(prefix) >= 32:
             break
     last = drawn.where(F.col("draw").startswith(prefix)).orderBy("draw").limit(left)
     return last.agg(F.max("draw")).first()[0]

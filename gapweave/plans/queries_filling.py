@@ -88,7 +88,7 @@ FROM (SELECT *, 101325 + 10 * rh28m_gf AS sp, rh28m_gf / 100 * 6.112 * exp(17.67
               "specific_humidity_gf", "sp", "shortwave_obs", "shortwave_pred", "shortwave_gf", "windspeed", "windspeed_bc", "longwave"])
 def merged_product(t: Tables) -> DataFrame:
     """Seven gap-filled inputs joined by hour, humidity and longwave derived."""
-    s = sensors(t).withColumnRenamed("time", "date").where("site IS NOT NULL")
+    s = sensors(t).withColumnRenamed("time", "date").where("site IS NOT NULL").persist()
     key = merged.KEY
     temp = gapfill.fill(s.select(*key, "t28m", F.coalesce("e5_t2m", F.lit(3.0)).alias("t28m_pred")), "t28m", "t28m_pred", "t28m_gf")
     hum = gapfill.fill(s.select(*key, F.col("e5_ws").alias("rh28m"), F.coalesce("g_p", F.lit(5.0)).alias("rh28m_pred")),

@@ -121,7 +121,7 @@ WITH {SHIPMENTS} SELECT site, year(time)::INTEGER AS year, quantile_cont(x, 0.01
 """, rounded=["q01", "q50", "q99"])
 def yearly_quantiles(t: Tables) -> DataFrame:
     df = shipments(t).withColumn("year", F.year("time"))
-    q = quantiles.quantiles(df, ["site", "year"], "x", (0.01, 0.5, 0.99), "q")
+    q = quantiles.quantiles(df, ["site", "year"], {"q": "x"}, (0.01, 0.5, 0.99))
     return q.select("site", "year", *[F.col("q")[i].alias(n) for i, n in enumerate(("q01", "q50", "q99"))])
 
 

@@ -121,6 +121,16 @@ def test_missing_times_come_last(spark):
     assert got == {2: 1, 3: 2, 1: 3}
 
 
+def test_series_too_long_for_a_task_are_cut(spark, monkeypatch):
+    df = series(spark)
+    whole = blocks.previous(df, ["site"], "time", ["x"], ["id"])
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", 20)
+    cut = blocks.previous(df, ["site"], "time", ["x"], ["id"])
+    assert "__block" in cut._jdf.queryExecution().analyzed().toString()
+    assert "__block" not in whole._jdf.queryExecution().analyzed().toString()
+    assert rows_of(cut, "id", "x_l1") == rows_of(whole, "id", "x_l1")
+
+
 @pytest.mark.parametrize("chunk_rows", [12, 17, 50, 1_000])
 def test_chunked_frames_equal_one_window(spark, chunk_rows):
     frames = {"s3": ("x", "sum", 3), "m12": ("x", "max", 12), "a5": ("x", "avg", 5)}
@@ -212,24 +222,41 @@ def test_ranks(spark, n_blocks, bound):
     assert seen == len(got)
 
 
+@pytest.mark.parametrize("group_rows", [0, 1_000_000])
 @pytest.mark.parametrize("rounded", [True, False])
-def test_quantiles_match_linear_interpolation(spark, rounded):
+def test_quantiles_match_linear_interpolation(spark, rounded, group_rows, monkeypatch):
+    monkeypatch.setattr(quantiles, "GROUP_ROWS", group_rows)
     df = series(spark)
     df = df.withColumn("x", F.round("x")) if rounded else df
     nodes = [0.0, 0.01, 0.25, 1 / 3, 0.5, 0.9, 0.999, 1.0]
-    got = {r["site"]: r["q"] for r in quantiles.quantiles(df, ["site"], "x", nodes, "q").collect()}
+    got = {r["site"]: r["q"] for r in quantiles.quantiles(df, ["site"], {"q": "x"}, nodes).collect()}
     for site, g in df.toPandas().dropna(subset=["x"]).groupby("site", dropna=False):
         want = np.quantile(g["x"], nodes)
         assert got[site if isinstance(site, str) else None] == pytest.approx(list(want))
 
 
-def test_quantiles_of_one_value(spark):
+@pytest.mark.parametrize("group_rows", [0, 1_000_000])
+def test_quantiles_of_one_value(spark, group_rows, monkeypatch):
+    monkeypatch.setattr(quantiles, "GROUP_ROWS", group_rows)
     df = spark.createDataFrame([("a", 2.0), ("b", None)], "g string, x double")
-    got = {r["g"]: r["q"] for r in quantiles.quantiles(df, ["g"], "x", [0.0, 0.5, 1.0], "q").collect()}
-    assert got == {"a": [2.0, 2.0, 2.0]}
+    got = {r["g"]: r["q"] for r in quantiles.quantiles(df, ["g"], {"q": "x"}, [0.0, 0.5, 1.0]).collect()}
+    assert got == {"a": [2.0, 2.0, 2.0], "b": None}
+
+
+@pytest.mark.parametrize("group_rows", [0, 1_000_000])
+def test_cumulative_share(spark, group_rows, monkeypatch):
+    monkeypatch.setattr(quantiles, "GROUP_ROWS", group_rows)
+    df = series(spark).withColumn("x", F.round("x"))
+    got = {r["id"]: r["tau"] for r in quantiles.cumulative_share(df, ["site"], "x").collect()}
+    for _, g in df.toPandas().groupby("site", dropna=False):
+        held = g["x"].dropna()
+        for r in g.itertuples():
+            assert got[r.id] == (None if np.isnan(r.x) else pytest.approx((held <= r.x).mean()))
 
 
-def test_quantile_mapping_against_numpy(spark):
+@pytest.mark.parametrize("group_rows", [0, 1_000_000])
+def test_quantile_mapping_against_numpy(spark, group_rows, monkeypatch):
+    monkeypatch.setattr(quantiles, "GROUP_ROWS", group_rows)
     rnd = np.random.default_rng(5)
     n = 400
     p = pd.DataFrame({"id": range(n), "hour": rnd.integers(0, 3, n), "ws": rnd.gamma(2, 2, n)})
