@@ -6,9 +6,9 @@ is not an option.  Two exact ways:
 
 * the table of groups is small (proven by the caller, or counted here): it is
   broadcast and the rows never move;
-* it is not: rows of the few heaviest groups still meet a broadcast table, the
-  others meet the rest of the groups in a shuffle join.  Rows already served
-  are spread over salts that match nothing, so no task receives a heavy group.
+* it is not: rows of the few heaviest groups still meet a broadcast table, only
+  the others are shuffled to meet the rest of the groups.  No task receives a
+  heavy group.
 """
 
 from __future__ import annotations
@@ -24,8 +24,6 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 #: A group above this share of all rows is served by broadcast, so at most
 #: ``1 / HEAVY_SHARE`` groups are.
 HEAVY_SHARE = 1e-5
-#: Spread of the rows that need no second match.
-SALTS = 1024
 
 
 def _same(left: DataFrame, right: DataFrame, on: Sequence[str], marks: dict[str, str]) -> Column:
@@ -85,26 +83,20 @@ def _attach_small(rows: DataFrame, groups: DataFrame, on: Sequence[str], how: st
 
 
 def attach_split(rows: DataFrame, groups: DataFrame, on: Sequence[str], weight: str, *,
-                 heavy_rows: int, how: str = "left", salts: int = SALTS) -> DataFrame:
-    """Heavy groups by broadcast, light groups by a salted shuffle join."""
-    gains = [c for c in groups.columns if c not in on and c != weight]
-    heavy, marks = _marked(groups.where(F.col(weight) > heavy_rows).drop(weight), on, "h")
-    heavy = heavy.withColumnsRenamed({c: f"__h_{c}" for c in gains}).withColumn("__heavy", F.lit(True))
-    step = rows.join(F.broadcast(heavy), _same(rows, heavy, on, marks), "left").drop(*marks.values())
-    served = F.col("__heavy").isNotNull()
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(salts)) + 1
-    step = step.withColumn("__salt", F.when(served, spread).otherwise(F.lit(0)))
-
-    light, marks = _marked(groups.where(F.col(weight) <= heavy_rows).drop(weight), on, "l")
-    light = light.withColumnsRenamed({c: f"__l_{c}" for c in gains}).withColumn("__l_salt", F.lit(0))
-    light = light.withColumn("__light", F.lit(True))
-    both = step.join(light, _same(step, light, on, marks) & (step["__salt"] == light["__l_salt"]), "left")
-    if how == "inner":
-        both = both.where(served | F.col("__light").isNotNull())
-    return both.select(
-        *[F.col(f"`{c}`") for c in rows.columns],
-        *[F.when(served, F.col(f"__h_{c}")).otherwise(F.col(f"__l_{c}")).alias(c) for c in gains],
-    )
+                 heavy_rows: int, how: str = "left") -> DataFrame:
+    """Rows of heavy groups meet a broadcast and stay where they are; the others a shuffle join.
+
+    ``rows`` is read once for each of the two parts, so keep it if it is costly.
+    """
+    is_heavy = F.col(weight) > heavy_rows
+    heavy = groups.where(is_heavy).drop(weight).withColumn("__heavy", F.lit(True))
+    light = groups.where(~is_heavy).drop(weight)
+    marked = _attach_small(rows, heavy, on, "left")
+    done = marked.where(F.col("__heavy")).drop("__heavy")
+    rest = marked.where(F.col("__heavy").isNull()).select(*rows.columns)
+    light, marks = _marked(light, on, "l")
+    rest = rest.join(light, _same(rest, light, on, marks), how).drop(*marks.values())
+    return done.unionByName(rest)
 
 
 def on_each_row(df: DataFrame, by: Sequence[str], aggregates: Mapping[str, Column], *,

@@ -8,6 +8,7 @@ and, where asked, get a missing-flag column next to them.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -73,17 +74,24 @@ class Search:
         return importance(spark, self.best, self.covariates)
 
 
-def _search(train: DataFrame, target: str, covariates: Sequence[str], model, grid, folds: int,
-            parallelism: int) -> Search:
-    train = as_double(train, [*covariates, target]).select(*covariates, target).persist()
+@contextmanager
+def kept(train: DataFrame, columns: Sequence[str]):
+    """Training columns as doubles, kept while a model iterates over them."""
+    data = as_double(train, columns).select(*columns).persist()
     try:
-        stages = Pipeline(stages=[*_features(covariates), model])
-        evaluator = RegressionEvaluator(labelCol=target, predictionCol="__pred", metricName="rmse")
-        found: CrossValidatorModel = CrossValidator(
-            estimator=stages, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
-            parallelism=parallelism, seed=SEED).fit(train)
+        yield data
     finally:
-        train.unpersist()
+        data.unpersist()
+
+
+def _search(train: DataFrame, target: str, covariates: Sequence[str], model, grid, folds: int,
+            parallelism: int) -> Search:
+    stages = Pipeline(stages=[*_features(covariates), model])
+    evaluator = RegressionEvaluator(labelCol=target, predictionCol="__pred", metricName="rmse")
+    search = CrossValidator(estimator=stages, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
+                            parallelism=parallelism, seed=SEED)
+    with kept(train, [*covariates, target]) as data:
+        found: CrossValidatorModel = search.fit(data)
     named = [", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)) for m in grid]
     return Search(found.bestModel, list(covariates), list(zip(named, map(float, found.avgMetrics))))
 
@@ -113,13 +121,15 @@ def fit_forest(train: DataFrame, target: str, covariates: Sequence[str], *, tree
                depth: int = 8) -> PipelineModel:
     model = RandomForestRegressor(labelCol=target, featuresCol="__features", predictionCol="__pred",
                                   numTrees=trees, maxDepth=depth, seed=SEED)
-    return Pipeline(stages=[*_features(covariates), model]).fit(as_double(train, [*covariates, target]))
+    with kept(train, [*covariates, target]) as data:
+        return Pipeline(stages=[*_features(covariates), model]).fit(data)
 
 
 def fit_linear(train: DataFrame, target: str, covariates: Sequence[str]) -> PipelineModel:
     """All covariates, additive and straight."""
     model = LinearRegression(labelCol=target, featuresCol="__features", predictionCol="__pred")
-    return Pipeline(stages=[*_features(covariates), model]).fit(as_double(train, [*covariates, target]))
+    with kept(train, [*covariates, target]) as data:
+        return Pipeline(stages=[*_features(covariates), model]).fit(data)
 
 
 def fit_general(train: DataFrame, target: str, terms: Sequence[str], *, family: str = "gaussian",
@@ -128,7 +138,8 @@ def fit_general(train: DataFrame, target: str, terms: Sequence[str], *, family:
     model = GeneralizedLinearRegression(labelCol=target, featuresCol="__features", predictionCol="__pred",
                                         family=family, link=link, regParam=ridge, maxIter=50)
     assemble = VectorAssembler(inputCols=list(terms), outputCol="__features")
-    return Pipeline(stages=[assemble, model]).fit(as_double(train, [*terms, target]))
+    with kept(train, [*terms, target]) as data:
+        return Pipeline(stages=[assemble, model]).fit(data)
 
 
 def score(model: PipelineModel, df: DataFrame, into: str, covariates: Sequence[str] = ()) -> DataFrame:

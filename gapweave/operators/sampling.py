@@ -57,7 +57,9 @@ def draw_limit(df: DataFrame, keys: Sequence[str], seed: int, *, n: int | None =
                 break
             left -= c
         prefix = edge
-        if c <= _SORT_ROWS or len(prefix) >= 32:
+        if len(prefix) == 32:
+            return prefix
+        if c <= _SORT_ROWS:
             break
     last = drawn.where(F.col("draw").startswith(prefix)).orderBy("draw").limit(left)
     return last.agg(F.max("draw")).first()[0]
@@ -93,13 +95,14 @@ def block_split(df: DataFrame, time: str, keys: Sequence[str], seed: int, train_
 
     Whole year-months go to training, so that neighbouring hours of an
     autocorrelated series do not leak across; the held-out rows are halved.
+    Rows without a time are held out.
     """
-    labelled = df.withColumn("ym", clock.year_month(F.col(time)))
-    labelled = attach(labelled, month_sets(df, time, seed, train_share), ["ym"], bound=MONTHS)
-    train = labelled.where("in_train_months").withColumn("part", F.lit("train"))
-    held_out = mark_exactly(labelled.where("not in_train_months"), keys, seed + 1, fraction=0.5)
-    part = F.when(F.col("chosen"), "test").otherwise("valid")
-    return train.unionByName(held_out.withColumn("part", part).drop("chosen")).drop("in_train_months")
+    months = month_sets(df, time, seed, train_share).persist()
+    labelled = attach(df.withColumn("ym", clock.year_month(F.col(time))), months, ["ym"], bound=MONTHS)
+    in_train = F.coalesce("in_train_months", F.lit(False))
+    limit = draw_limit(labelled.where(~in_train), keys, seed + 1, fraction=0.5)
+    part = F.when(in_train, "train").when(draw(keys, seed + 1) <= F.lit(limit), "test").otherwise("valid")
+    return labelled.withColumn("part", part).drop("in_train_months")
 
 
 def first_rows(df: DataFrame, n: int, *order: str) -> DataFrame:

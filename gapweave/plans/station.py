@@ -46,3 +46,8 @@ def hourly_recent(log: DataFrame, site: str, ties: Sequence[str] = ()) -> DataFr
 def hourly_record(record: DataFrame) -> DataFrame:
     """Older logs to hours: readings within a quarter hour of the full hour."""
     return hourly_mean(record, ["site"], "date", skip=("year", "month", "day", "hour"), rule="on_hour")
+
+
+def station_hours(older: DataFrame, recent: DataFrame) -> DataFrame:
+    """Older and recent hourly records as one; a sensor one of them lacks is NULL."""
+    return stack_rows([older, recent], fill_missing=True)

@@ -56,7 +56,7 @@ def test_large_group_tables_take_the_split_way(spark, monkeypatch):
     want = rows_of(clean.flag_outliers(rows, ["site"], "x"), "id", "bad")
     monkeypatch.setattr(attach_module, "BROADCAST_ROWS", 1)
     out = clean.flag_outliers(rows, ["site"], "x")
-    assert "__salt" in out._jdf.queryExecution().analyzed().toString()
+    assert "__heavy" in out._jdf.queryExecution().analyzed().toString()
     assert rows_of(out, "id", "bad") == want
 
 
@@ -190,6 +190,17 @@ def test_samples_do_not_depend_on_partitioning(spark):
     assert 80 < a.count() < 160
 
 
+def test_equal_keys_share_their_fate(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "_SORT_ROWS", 10)
+    df = spark.range(200).select(F.lit(7).alias("k"))
+    assert sampling.take_exactly(df, 50, ["k"], 1).count() == 200
+
+
+def test_block_split_keeps_rows_without_a_time(spark):
+    df = spark.createDataFrame([(1, None), (2, T0), (3, T0)], "id int, time timestamp_ntz")
+    assert sampling.block_split(df, "time", ["id"], 3, train_share=1.0).where("part <> 'train'").count() == 1
+
+
 def test_block_split_keeps_months_whole(spark):
     df = spark.range(3_000).select("id", F.expr("timestamp_ntz'2001-01-15 00:00:00' + make_interval(0, cast(id % 40 as int))").alias("time"))
     out = sampling.block_split(df, "time", ["id"], seed=3).toPandas()
