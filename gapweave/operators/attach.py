@@ -99,6 +99,21 @@ def attach_split(rows: DataFrame, groups: DataFrame, on: Sequence[str], weight:
     return done.unionByName(rest)
 
 
+def look_up(rows: DataFrame, entries: DataFrame, on: Sequence[str], *, how: str = "left",
+            row_bytes: int = 100) -> DataFrame:
+    """Join ``entries`` (unique on ``on``; NULL keys match NULL) that do not stem from ``rows``.
+
+    Small enough: broadcast.  Else the rows per key are counted, so that keys
+    with very many rows can be served apart.
+    """
+    entries, n_entries, _ = counted(entries)
+    if fits(n_entries, row_bytes):
+        return _attach_small(rows, entries, on, how)
+    counts, marks = _marked(rows.groupBy(*on).agg(F.count(F.lit(1)).alias("__weight")), on, "c")
+    weighed = entries.join(counts, _same(entries, counts, on, marks), "inner").drop(*marks.values())
+    return attach(rows, weighed, on, how=how, weight="__weight", row_bytes=row_bytes)
+
+
 def on_each_row(df: DataFrame, by: Sequence[str], aggregates: Mapping[str, Column], *,
                 short_groups: bool = False, bound: int | None = None) -> DataFrame:
     """Aggregates of the row's group, next to the row.

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gapweave.functions.naming import suffix_clashes
+from gapweave.operators.attach import look_up
 
 
 def join_on(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -44,10 +45,7 @@ def daily_onto_hourly(hourly: DataFrame, daily: DataFrame, on: Sequence[str]) ->
 
 def rows_not_in(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of ``left`` that have no equal row in ``right`` (NULL equals NULL, duplicates stay)."""
-    marks = {c: f"__r_{c}" for c in right.columns}
-    right = right.distinct().withColumnsRenamed(marks)
-    same = reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[marks[c]]) for c in left.columns])
-    return left.join(right, same, "left_anti")
+    return keep_members(left, right, left.columns, inside=False)
 
 
 def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -63,20 +61,24 @@ def stack_rows(frames: Sequence[DataFrame], fill_missing: bool = False) -> DataF
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=fill_missing), frames)
 
 
+def _with_hit(df: DataFrame, members: DataFrame, on: Sequence[str]) -> DataFrame:
+    entries = members.select(*on).distinct().withColumn("__hit", F.lit(True))
+    return look_up(df, entries, on)
+
+
 def keep_members(df: DataFrame, members: DataFrame, on: Sequence[str], *, inside: bool = True) -> DataFrame:
-    """Rows whose key is (not) in ``members``."""
-    return df.join(members.select(*on).distinct(), list(on), "left_semi" if inside else "left_anti")
+    """Rows whose key is (not) in ``members``; NULL equals NULL."""
+    hit = F.col("__hit").isNotNull()
+    return _with_hit(df, members, on).where(hit if inside else ~hit).drop("__hit")
 
 
 def member_flag(df: DataFrame, members: DataFrame, on: Sequence[str], into: str = "in_train",
                 also: str | None = None) -> DataFrame:
     """Is the row's key in ``members``?  False where ``also`` is missing."""
-    keys = members.select(*on).distinct().withColumn("__hit", F.lit(True))
-    out = df.join(keys, list(on), "left")
     flag = F.col("__hit").isNotNull()
     if also is not None:
         flag = flag & F.col(also).isNotNull()
-    return out.withColumn(into, flag).drop("__hit")
+    return _with_hit(df, members, on).withColumn(into, flag).drop("__hit")
 
 
 def key_coverage(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -223,6 +223,18 @@ def prefixed_names(t: Tables) -> DataFrame:
     return naming.rename(df, {"e5_quantity": "e5_quantity"})
 
 
+@query("""
+SELECT p_partkey, string_split(p_type, ' ')[1] AS head, substring(p_name, 1, 4) AS four, regexp_replace(p_brand, '[^0-9]', '', 'g')::INTEGER AS code,
+  p_brand || '/' || p_type AS joined, contains(p_type, 'STEEL') AS steel FROM part
+""")
+def string_pieces(t: Tables) -> DataFrame:
+    """Split, cut, replace, join and test text; cast what is a number."""
+    return t.part.select(
+        "p_partkey", F.split("p_type", " ", 2)[0].alias("head"), F.substring("p_name", 1, 4).alias("four"),
+        F.regexp_replace("p_brand", "[^0-9]", "").try_cast("int").alias("code"),
+        F.concat_ws("/", "p_brand", "p_type").alias("joined"), F.col("p_type").contains("STEEL").alias("steel"))
+
+
 # --- time -------------------------------------------------------------------
 
 

@@ -165,6 +165,35 @@ def key_coverage(t: Tables) -> DataFrame:
     return combine.key_coverage(t.events, t.orders.select(F.col("o_custkey").alias("user_id")), ["user_id"])
 
 
+@query("""
+SELECT o_orderkey AS id, o_orderdate AS time, o_totalprice AS x FROM orders
+UNION ALL SELECT l_orderkey, l_shipdate, l_extendedprice FROM lineitem
+""")
+def stack_rows(t: Tables) -> DataFrame:
+    """Two sources of one layout, duplicates kept."""
+    a = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("time"), F.col("o_totalprice").alias("x"))
+    b = t.lineitem.select(F.col("l_orderkey").alias("id"), F.col("l_shipdate").alias("time"), F.col("l_extendedprice").alias("x"))
+    return combine.stack_rows([a, b])
+
+
+@query("""
+SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1999-01-01'
+""")
+def time_range(t: Tables) -> DataFrame:
+    """Half-open time range, pushed into the scan."""
+    time = F.col("o_orderdate")
+    start, end = (F.lit(f"{y}-01-01 00:00:00").cast("timestamp_ntz") for y in (1996, 1999))
+    return t.orders.where((time >= start) & (time < end)).select("o_orderkey", "o_orderdate", "o_totalprice")
+
+
+@query(f"""
+WITH {SENSOR_HOURS} SELECT site, time, t28m, e5_t2m FROM sensors WHERE t28m IS NOT NULL AND e5_t2m IS NOT NULL
+""", rounded=["t28m", "e5_t2m"])
+def complete_rows(t: Tables) -> DataFrame:
+    """Rows without a missing value."""
+    return sensors(t).select("site", "time", "t28m", "e5_t2m").dropna(subset=["t28m", "e5_t2m"])
+
+
 # --- splits and samples -----------------------------------------------------
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from gapweave.functions import clock
 from gapweave.operators.aggregate import hourly_mean
+from gapweave.operators.attach import look_up
 from gapweave.plans.catalog import Tables
 
 SENSORS = {"purchase": "t28m", "view": "e5_t2m", "click": "e5_ws", "signup": "g_p", "error": "c_p"}
@@ -44,7 +45,7 @@ HOURLY = ("hourly AS (SELECT site, date_trunc('hour', time + INTERVAL 30 MINUTE)
 def placed(t: Tables) -> DataFrame:
     """Sensor readings with the site of their user."""
     sites = t.customer.select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("site"))
-    return (t.events.join(sites, "user_id", "left")
+    return (look_up(t.events, sites, ["user_id"])
             .select("site", F.col("ts").alias("time"), "event_id", "event_type", F.sqrt("value").alias("x")))
 
 

@@ -60,6 +60,18 @@ def test_large_group_tables_take_the_split_way(spark, monkeypatch):
     assert rows_of(out, "id", "bad") == want
 
 
+def test_lookup_beyond_the_broadcast_limit(spark, monkeypatch):
+    rows = series(spark).withColumn("k", F.col("id") % 5)
+    entries = spark.createDataFrame([("hot", 1, "a"), ("hot", 2, "b"), (None, 3, "c"), ("none", 4, "d")], "site string, k int, e string")
+    want = rows_of(attach_module.look_up(rows, entries, ["site", "k"]), "id", "e")
+    monkeypatch.setattr(attach_module, "BROADCAST_ROWS", 2)
+    monkeypatch.setattr(attach_module, "HEAVY_SHARE", 0.1)
+    assert rows_of(attach_module.look_up(rows, entries, ["site", "k"]), "id", "e") == want
+    hit = combine.keep_members(rows, entries, ["site", "k"])
+    miss = combine.keep_members(rows, entries, ["site", "k"], inside=False)
+    assert hit.count() == sum(e is not None for _, e in want) and hit.count() + miss.count() == len(want) == 300
+
+
 def test_null_keys_form_one_group(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), (1, 5.0)], "month int, x double")
     for short in (True, False):
