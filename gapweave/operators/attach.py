@@ -43,7 +43,11 @@ def fits(n_groups: int, row_bytes: int) -> bool:
 
 
 def counted(groups: DataFrame, weight: str | None = None) -> tuple[DataFrame, int, int]:
-    """Compute a table of groups once, keep it, and count it (and the rows behind it)."""
+    """Compute a table of groups once, keep it, and count it (and the rows behind it).
+
+    The table stays kept for the query that is built on it; a long-lived session
+    frees such tables with ``spark.catalog.clearCache()`` between jobs.
+    """
     groups = groups.persist()
     total = F.sum(weight) if weight else F.lit(0).cast("bigint")
     n_groups, n_rows = groups.agg(F.count(F.lit(1)), total).first()

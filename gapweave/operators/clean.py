@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,16 +42,14 @@ def drop_flagged(value: str, flag: str = "bad") -> Column:
 
 
 def in_periods(year: Column, month: Column, periods: Iterable[tuple[int, int, int]]) -> Column:
-    """Unknown when the date parts are unknown."""
-    test = F.lit(False)
-    for y, first, last in periods:
-        test = test | ((year == y) & month.between(first, last))
-    return F.when(year.isNotNull() & month.isNotNull(), test)
+    """Does the month fall in a period?  Unknown where missing parts leave it open."""
+    return reduce(lambda a, b: a | b,
+                  [(year == y) & (month >= first) & (month <= last) for y, first, last in periods])
 
 
 def mask_periods(df: DataFrame, value: str, year: str = "year", month: str = "month",
                  periods: Iterable[tuple[int, int, int]] = BAD_HUMIDITY_PERIODS) -> DataFrame:
-    """Null a sensor in its bad months, and where the date is unknown."""
+    """Null a sensor in its bad months, and where the date leaves that open."""
     bad = in_periods(F.col(year), F.col(month), periods)
     return df.withColumn(value, F.when(~bad, F.col(value)))
 

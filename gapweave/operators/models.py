@@ -35,6 +35,8 @@ TARGET_RULES: dict[str, tuple[str, str]] = {
 }
 # Fixed value: seed of the model searches.
 SEED = 3
+#: Training rows worth a task of their own.
+PARTITION_ROWS = 50_000
 
 
 def usable(df: DataFrame, target: str, phase: str) -> DataFrame:
@@ -76,10 +78,14 @@ class Search:
 
 @contextmanager
 def kept(train: DataFrame, columns: Sequence[str]):
-    """Training columns as doubles, kept while a model iterates over them."""
+    """Training columns as doubles, kept while a model iterates over them.
+
+    Every iteration runs a few jobs, so a small set should not be spread over
+    more tasks than it has work for; a large one keeps its partitions.
+    """
     data = as_double(train, columns).select(*columns).persist()
     try:
-        yield data
+        yield data.coalesce(1 + data.count() // PARTITION_ROWS)
     finally:
         data.unpersist()
 

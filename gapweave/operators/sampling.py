@@ -27,10 +27,14 @@ def draw(keys: Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
 
 
+def fraction_limit(fraction: float) -> str:
+    """Hash text below which ``fraction`` of all hashes lie."""
+    return format(min(int(fraction * 16**8), 16**8 - 1), "08x")
+
+
 def take_fraction(df: DataFrame, fraction: float, keys: Sequence[str], seed: int) -> DataFrame:
     """About ``fraction`` of the rows."""
-    limit = format(min(int(fraction * 16**8), 16**8 - 1), "08x")
-    return df.where(F.substring(draw(keys, seed), 1, 8) < limit)
+    return df.where(draw(keys, seed) < fraction_limit(fraction))
 
 
 def draw_limit(df: DataFrame, keys: Sequence[str], seed: int, *, n: int | None = None,

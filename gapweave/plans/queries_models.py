@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gapweave.functions import naming
-from gapweave.operators import evaluate, gapfill, models, sampling
+from gapweave.operators import evaluate, models
 from gapweave.plans import daily as daily_plan
-from gapweave.plans import frame, hourly
+from gapweave.plans import filling, frame, hourly
 from gapweave.plans.catalog import Tables, query
 from gapweave.plans.standin import SENSOR_HOURS, covariate_inputs, model_days, model_slots, sensors
 
@@ -147,12 +147,16 @@ def smooth_models_by_aic(t: Tables) -> DataFrame:
 def smooth_gapfill(t: Tables) -> DataFrame:
     """Smooth additive model trained on three tenths of the rows, used to fill the gaps."""
     data = _gappy_days(t).persist()
+    return filling.smooth_fill(data, "t28m", _smooth_terms(data)["calendar_warm"], ["site", "date"])
+
+
+@query()
+def smooth_test_error(t: Tables) -> DataFrame:
+    """Error of the smooth model on an equally large random test set."""
+    data = _gappy_days(t).persist()
     terms = _smooth_terms(data)["calendar_warm"]
-    whole = models.with_terms(data, terms)
-    train = sampling.take_fraction(models.usable(whole, "t28m", "train"), 0.3, ["site", "date"], models.SEED)
-    model = models.fit_general(train, "t28m", list(terms), ridge=1e-6)
-    scored = models.score(model, whole, "t28m_pred", list(terms))
-    return gapfill.fill(scored, "t28m", "t28m_pred", "t28m_gf").select("site", "date", "t28m", "t28m_pred", "t28m_gf", "gapfill")
+    model, test = filling.smooth_model(data, "t28m", terms, ["site", "date"])
+    return evaluate.skill(models.score(model, test, "pred", list(terms)), "t28m", "pred")
 
 
 @query()

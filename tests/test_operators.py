@@ -331,9 +331,11 @@ def test_rain_rules(spark):
 
 
 def test_period_mask_and_unknown_dates(spark):
-    df = spark.createDataFrame([(2011, 4, 1.0), (2011, 7, 2.0), (2012, 6, 3.0), (2017, 12, 4.0), (2018, 3, 5.0), (None, 1, 6.0)],
+    df = spark.createDataFrame([(2011, 4, 1.0), (2011, 7, 2.0), (2012, 6, 3.0), (2017, 12, 4.0), (2018, 3, 5.0),
+                                (None, None, 6.0), (None, 1, 7.0), (None, 5, 8.0), (2010, None, 9.0), (2012, None, 10.0)],
                                "year int, month int, rh28m double")
-    assert [r["rh28m"] for r in clean.mask_periods(df, "rh28m").collect()] == [None, 2.0, None, None, 5.0, None]
+    assert [r["rh28m"] for r in clean.mask_periods(df, "rh28m").collect()] == [
+        None, 2.0, None, None, 5.0, None, 7.0, None, 9.0, None]
 
 
 def test_single_value_group_is_good(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gapweave.operators import models
 from gapweave.operators.checks import DataCheckError
-from gapweave.plans import daily, frame, hourly, merged, station
+from gapweave.plans import daily, filling, frame, hourly, jobs, merged, station
 from gapweave.sources import layouts, readers, writers
 
 T0 = dt.datetime(2017, 3, 1)
@@ -285,3 +285,58 @@ def test_daily_pipeline(spark, learnable):
     assert out.count() == 3 * days.select("date").distinct().count()
     means = {r["stat"]: r["m"] for r in out.groupBy("stat").agg(F.avg("pred_t28m").alias("m")).collect()}
     assert means["min"] < means["mean"] < means["max"]
+
+
+def test_smooth_fill_and_its_test_rows(spark, learnable):
+    terms = {**filling.calendar_terms(), **models.spline("e5_t2m", models.knots(learnable, "e5_t2m"))}
+    out = filling.smooth_fill(learnable, "t28m", terms, ["site", "time_utc"])
+    assert out.count() == 1_500 and out.where("gapfill").count() == 150
+    assert out.where("t28m_gf IS NULL OR (NOT gapfill AND t28m_gf <> t28m)").count() == 0
+    model, test = filling.smooth_model(learnable, "t28m", terms, ["site", "time_utc"])
+    assert 330 < test.count() < 480
+    error = models.score(model, test, "pred", list(terms)).agg(F.sqrt(F.avg(F.pow(F.col("pred") - F.col("t28m"), 2)))).first()[0]
+    assert error < 0.3
+
+
+def test_corrected_wind_per_site_and_hour(spark):
+    rows = [(s, T0 + dt.timedelta(hours=h), h % 2, 1.0 + (h * 7 % 11), (2.0 + (h * 7 % 11)) if h % 3 else None)
+            for s in ("a", "b") for h in range(60)]
+    df = spark.createDataFrame(rows, "site string, date timestamp_ntz, hour int, ws double, vv double")
+    got = filling.corrected_wind(df)
+    assert got.columns == ["site", "date", "ws", "ws_bc"] and got.count() == 120
+    # the observed wind is the modelled one plus 1, at every quantile
+    assert all(r["ws_bc"] == pytest.approx(r["ws"] + 1.0) for r in got.collect())
+
+
+def test_jobs_from_files_to_products(spark, tmp_path):
+    """Forty days over two months, two logs, three covariate files, hourly and daily product."""
+    t0, n = dt.datetime(2021, 1, 12), 24 * 40
+    hours = [t0 + dt.timedelta(hours=h) for h in range(n)]
+    old = [[(t - dt.timedelta(hours=3)).isoformat(" "), 20 + t.hour / 4 + t.day / 20, 80 + t.hour / 3, t.hour, 0.1] for t in hours[: n // 2]]
+    names = list(layouts.LOG_2021)
+    new = []
+    for t in hours[n // 2:]:
+        local = t - dt.timedelta(hours=3)
+        r = {k: 1.0 for k in names}
+        r |= {"Dia": local.day, "Mês": local.month, "Ano": 21, "Hora": f"{local.hour}:00", "Tar_28m (°C)": 20 + t.hour / 4 + t.day / 20, "RH_28m (%)": 80}
+        new.append([r[k] for k in names])
+    header = list(layouts.REANALYSIS)
+    e5 = [["s", t.isoformat(" "), 293.15 + t.hour / 4, 290.15, 1e5, 1, 1, 0, 3, 4, 0.001] for t in hours]
+    put(tmp_path / "e5", "ERA5-Land-hourly___1.csv", header, e5)
+    gpm = put(tmp_path, "gpm.csv", ["date", "precipitationCal", "site"],
+              [[(t + dt.timedelta(minutes=m)).isoformat(" "), 1.0, "s"] for t in hours for m in (0, 30)])
+    rain = put(tmp_path, "rain.csv", ["date", "precipitation", "site"], [[(t0 + dt.timedelta(days=d)).date(), 1.0, "s"] for d in range(40)])
+    day = dt.date(2024, 1, 1)
+    jobs.clean_station(spark, {"2001": put(tmp_path, "old.csv", list(layouts.LOG_2001), old)}, "s", str(tmp_path / "record"), day)
+    jobs.clean_recent(spark, put(tmp_path, "new.csv", names, new), "s", str(tmp_path / "recent"), day)
+    dat = jobs.build_frame(spark, "s", reanalysis=str(tmp_path / "e5"), satellite=gpm, daily_rain=rain,
+                           record=str(tmp_path / "record"), recent=str(tmp_path / "recent")).persist()
+    assert dat.count() == n and dat.where("t28m IS NULL").count() == 0
+    search = dict(depths=(3,), trees=5, folds=2)
+    skill = jobs.hourly_product(dat, str(tmp_path / "hourly"), ["t28m", "vpd28m"], run_date=day, **search)
+    assert set(skill) == {"t28m", "vpd28m"} and skill["t28m"].first()["n"] > 0
+    back = readers.read_table(spark, str(tmp_path / "hourly" / "parquet"))
+    assert back.count() == n and {"pred_t28m", "pred_vpd28m", "run_date"} <= set(back.columns)
+    board = jobs.daily_product(dat, str(tmp_path / "daily"), run_date=day, **search)
+    assert board.count() == 1
+    assert readers.read_csv(spark, str(tmp_path / "daily")).count() == 3 * dat.select("date").distinct().count()
