@@ -34,6 +34,8 @@ def fraction_limit(fraction: float) -> str:
 
 def take_fraction(df: DataFrame, fraction: float, keys: Sequence[str], seed: int) -> DataFrame:
     """About ``fraction`` of the rows."""
+    if fraction >= 1:
+        return df
     return df.where(draw(keys, seed) < fraction_limit(fraction))
 
 

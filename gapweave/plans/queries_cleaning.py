@@ -14,8 +14,7 @@ from gapweave.operators.aggregate import hourly_mean
 from gapweave.operators.combine import stack_rows
 from gapweave.operators.gapfill import fill_from_group_mean
 from gapweave.plans.catalog import Tables, query
-from gapweave.plans.standin import (GAPPY, HOURLY, LOG, PLACED, SENSOR_HOURS, SHIPMENTS, grid, hourly, log, placed,
-                                    sensors, shipments)
+from gapweave.plans.standin import HOURLY, LOG, SENSOR_HOURS, SHIPMENTS, hourly, log, sensors, shipments
 from gapweave.session import staging_path
 from gapweave.sources import readers, writers
 

@@ -5,22 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gapweave.functions import clock, moisture
+from gapweave.functions import clock
 from gapweave.operators import evaluate, gapfill
 from gapweave.operators.combine import member_flag
 from gapweave.plans import daily as daily_plan
 from gapweave.plans import merged
 from gapweave.plans.catalog import Tables, query
-from gapweave.plans.standin import GAPPY, HOURLY, LOG, PLACED, SENSOR_HOURS, hourly, log, placed, sensors
+from gapweave.plans.standin import HOURLY, LOG, SENSOR_HOURS, frame_sql, hourly, log, sensors
 
 _WIDE = ("wide AS (SELECT date_trunc('hour', time) AS time, avg(x) FILTER (WHERE site = 'purchase') AS t28m, "
          "avg(x) FILTER (WHERE site = 'view') AS pred, avg(x) FILTER (WHERE site = 'click') AS e5_t2m FROM log GROUP BY 1)")
 
 
-def _wide(t: Tables, gaps: bool = False) -> DataFrame:
+def _wide(t: Tables) -> DataFrame:
     """One series: observed, predicted and one covariate per hour."""
     kinds = {"purchase": "t28m", "view": "pred", "click": "e5_t2m"}
-    return log(t, gaps).groupBy(clock.floor_time(F.col("time"), 60).alias("time")).agg(*[
+    return log(t).groupBy(clock.floor_time(F.col("time"), 60).alias("time")).agg(*[
         F.avg(F.when(F.col("site") == k, F.col("x"))).alias(n) for k, n in kinds.items()])
 
 
@@ -153,17 +153,13 @@ def skill(t: Tables) -> DataFrame:
     return evaluate.skill(sensors(t), "t28m", "e5_t2m", ["site"])
 
 
-def _frame(how: str, x: str) -> str:
-    over = "(ORDER BY time ROWS BETWEEN 71 PRECEDING AND CURRENT ROW)"
-    return f"CASE WHEN count({x}) OVER {over} = 72 THEN {how}({x}) OVER {over} END"
-
-
-_ROLLED = ", ".join(f"{_frame(h, c)} AS {c}_{s}" for c in ("x", "y") for s, h in (("max", "max"), ("mean", "avg"), ("min", "min")))
+_ROLLED = ", ".join(f"{frame_sql(how, x, 72)} AS {x}_{stat}" for x in ("x", "y")
+                    for stat, how in (("max", "max"), ("mean", "avg"), ("min", "min")))
 
 
 @query(f"""
 WITH {LOG}, {HOURLY}, pairs AS (SELECT site, time, x, x * x / 5 AS y, x > 6 AND dayofmonth(time) <= 15 AS in_train FROM hourly),
-rolled AS (SELECT site, time, in_train, {_ROLLED.replace("(ORDER", "(PARTITION BY site ORDER")} FROM pairs)
+rolled AS (SELECT site, time, in_train, {_ROLLED} FROM pairs)
 SELECT in_train, avg(abs(x_max - y_max)) AS val_hi, avg(abs(x_mean - y_mean)) AS val_mean, avg(abs(x_min - y_min)) AS val_lo,
   count(*) AS n FROM rolled WHERE x_mean IS NOT NULL GROUP BY 1
 """, rounded=["val_hi", "val_mean", "val_lo"])

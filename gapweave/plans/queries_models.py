@@ -10,12 +10,7 @@ from gapweave.operators import evaluate, models
 from gapweave.plans import daily as daily_plan
 from gapweave.plans import filling, frame, hourly
 from gapweave.plans.catalog import Tables, query
-from gapweave.plans.standin import SENSOR_HOURS, covariate_inputs, model_days, model_slots, sensors
-
-
-def _guard(how: str, x: str, n: int, order: str) -> str:
-    over = f"(PARTITION BY site ORDER BY {order} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
-    return f"CASE WHEN count({x}) OVER {over} = {n} THEN {how}({x}) OVER {over} END"
+from gapweave.plans.standin import SENSOR_HOURS, covariate_inputs, frame_sql, model_days, model_slots, sensors
 
 
 _ESAT = "0.6112 * exp(17.62 * {0} / ({0} + 243.12))"
@@ -26,14 +21,14 @@ WITH {SENSOR_HOURS},
 e AS (SELECT site, time AS time_utc, coalesce(e5_t2m, 7.0::DOUBLE) + 290 - 273.15 AS e5_t2m, coalesce(e5_ws, 6.0::DOUBLE) + 280 - 273.15 AS e5_d2m,
   sqrt(coalesce(g_p, 1.0::DOUBLE) ** 2 + coalesce(c_p, 2.0::DOUBLE) ** 2) AS e5_ws, coalesce(g_p, 0.0::DOUBLE) / 1000 AS r, t28m,
   coalesce(e5_ws, 4.0::DOUBLE) * 5 AS rh28m FROM sensors WHERE site IS NOT NULL),
-e2 AS (SELECT *, {_guard('max', 'r', 24, 'time_utc')} * 1000 AS e5_tot_p24h_max, {_guard('sum', 'r', 24, 'time_utc')} * 1000 AS e5_tot_p24h_sum,
+e2 AS (SELECT *, {frame_sql('max', 'r', 24, 'time_utc')} * 1000 AS e5_tot_p24h_max, {frame_sql('sum', 'r', 24, 'time_utc')} * 1000 AS e5_tot_p24h_sum,
   {_ESAT.format('e5_t2m')} AS e5_esat, {_ESAT.format('e5_t2m')} - {_ESAT.format('e5_d2m')} AS e5_vpd FROM e),
 half AS (SELECT site, date_trunc('day', time) + to_minutes(((hour(time) * 60 + minute(time)) // 30 * 30)::BIGINT) AS time_utc, avg(x) AS p
   FROM placed WHERE site IS NOT NULL GROUP BY 1, 2),
 g AS (SELECT site, date_trunc('hour', time_utc) AS time_utc, avg(p) AS g_p FROM half GROUP BY 1, 2),
-g2 AS (SELECT *, {_guard('sum', 'g_p', 3, 'time_utc')} AS g_p3h_sum, {_guard('sum', 'g_p', 120, 'time_utc')} AS g_p120h_sum FROM g),
+g2 AS (SELECT *, {frame_sql('sum', 'g_p', 3, 'time_utc')} AS g_p3h_sum, {frame_sql('sum', 'g_p', 120, 'time_utc')} AS g_p120h_sum FROM g),
 c AS (SELECT site, time::DATE AS date, sum(x) AS c_p24h FROM placed WHERE site IS NOT NULL GROUP BY 1, 2),
-c2 AS (SELECT *, {_guard('sum', 'c_p24h', 2, 'date')} AS c_p48h, {_guard('sum', 'c_p24h', 5, 'date')} AS c_p120h FROM c),
+c2 AS (SELECT *, {frame_sql('sum', 'c_p24h', 2, 'date')} AS c_p48h, {frame_sql('sum', 'c_p24h', 5, 'date')} AS c_p120h FROM c),
 j AS (SELECT e2.*, g_p, g_p3h_sum, g_p120h_sum, c_p24h, c_p48h, c_p120h, e2.time_utc - INTERVAL 3 HOUR AS time_local,
   {_ESAT.format('t28m')} * (1 - rh28m / 100) AS vpd28m FROM e2 JOIN g2 ON e2.site = g2.site AND e2.time_utc = g2.time_utc
   JOIN c2 ON e2.site = c2.site AND e2.time_utc::DATE = c2.date)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gapweave.functions import clock
 from gapweave.operators import clean, combine, reshape, sampling
 from gapweave.plans.catalog import Tables, query
-from gapweave.plans.standin import GAPPY, HOURLY, LOG, SENSOR_HOURS, SHIPMENTS, hourly, log, sensors, shipments
+from gapweave.plans.standin import GAPPY, HOURLY, LOG, SENSOR_HOURS, hourly, log, sensors
 
 # --- joins ------------------------------------------------------------------
 

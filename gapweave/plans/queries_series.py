@@ -7,40 +7,36 @@ from pyspark.sql import functions as F
 
 from gapweave.operators import blocks, grid as grids, quantiles, rolling
 from gapweave.operators.gapfill import running_within
+from gapweave.operators.reshape import to_wide
 from gapweave.plans.catalog import Tables, query
-from gapweave.plans.standin import GAPPY, GRID, HOURLY, LOG, SHIPMENTS, grid, hourly, log, shipments
+from gapweave.plans.standin import GAPPY, GRID, HOURLY, LOG, SHIPMENTS, frame_sql, grid, hourly, log, shipments
 from gapweave.session import staging_path
 from gapweave.sources import layouts, readers, writers
 
 
-def _frame_sql(how: str, n: int, x: str = "x", w: str = "") -> str:
-    over = f"(PARTITION BY site ORDER BY time{w} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
-    return f"CASE WHEN count({x}) OVER {over} = {n} THEN {how}({x}) OVER {over} END"
-
-
 # --- hourly series ----------------------------------------------------------
 
 _SUMS = {f"g_p{n}h_sum": ("x", "sum", n) for n in layouts.RAIN_HOURS}
 
 
 @query(f"WITH {GAPPY}, {HOURLY} SELECT site, time, "
-       + ", ".join(f"{_frame_sql('sum', n)} AS {name}" for name, (_, _, n) in _SUMS.items()) + " FROM hourly",
+       + ", ".join(f"{frame_sql('sum', 'x', n)} AS {name}" for name, (_, _, n) in _SUMS.items()) + " FROM hourly",
        rounded=list(_SUMS))
 def rolling_sums(t: Tables) -> DataFrame:
     """Trailing sums over 3 to 120 rows; one gap empties the frame."""
     return rolling.roll_series(hourly(t, gaps=True), ["site"], "time", _SUMS).drop("x")
 
 
-@query(f"WITH {LOG}, {HOURLY} SELECT site, time, {_frame_sql('max', 24)} * 1000 AS tot_p24h_max, "
-       f"{_frame_sql('sum', 24)} * 1000 AS tot_p24h_sum FROM hourly", rounded=["tot_p24h_max", "tot_p24h_sum"])
+@query(f"WITH {LOG}, {HOURLY} SELECT site, time, {frame_sql('max', 'x', 24)} * 1000 AS tot_p24h_max, "
+       f"{frame_sql('sum', 'x', 24)} * 1000 AS tot_p24h_sum FROM hourly", rounded=["tot_p24h_max", "tot_p24h_sum"])
 def rolling_day(t: Tables) -> DataFrame:
     """24-row maximum and total."""
     df = rolling.roll_series(hourly(t), ["site"], "time", {"m": ("x", "max", 24), "s": ("x", "sum", 24)})
     return df.select("site", "time", (F.col("m") * 1000).alias("tot_p24h_max"), (F.col("s") * 1000).alias("tot_p24h_sum"))
 
 
-@query(f"WITH {GAPPY}, {HOURLY} SELECT site, time, {_frame_sql('max', 72)} AS x_max_72h, "
-       f"{_frame_sql('avg', 72)} AS x_mean_72h, {_frame_sql('min', 72)} AS x_min_72h FROM hourly",
+@query(f"WITH {GAPPY}, {HOURLY} SELECT site, time, {frame_sql('max', 'x', 72)} AS x_max_72h, "
+       f"{frame_sql('avg', 'x', 72)} AS x_mean_72h, {frame_sql('min', 'x', 72)} AS x_min_72h FROM hourly",
        rounded=["x_max_72h", "x_mean_72h", "x_min_72h"])
 def rolling_extremes(t: Tables) -> DataFrame:
     return rolling.extremes(hourly(t, gaps=True), ["site"], "time", ["x"]).drop("x")
@@ -50,7 +46,7 @@ def rolling_extremes(t: Tables) -> DataFrame:
 WITH {LOG}, {HOURLY}, span AS (SELECT site, min(time) AS a, max(time) AS b FROM hourly GROUP BY 1),
 full_hours AS (SELECT site, unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS time FROM span),
 filled AS (SELECT f.site, f.time, h.x FROM full_hours f LEFT JOIN hourly h ON f.site = h.site AND f.time = h.time)
-SELECT site, time, x, {_frame_sql('sum', 6)} AS x6h FROM filled
+SELECT site, time, x, {frame_sql('sum', 'x', 6)} AS x6h FROM filled
 """, rounded=["x", "x6h"])
 def rolling_by_time(t: Tables) -> DataFrame:
     """Missing hours added first, so six rows are six hours."""
@@ -59,8 +55,8 @@ def rolling_by_time(t: Tables) -> DataFrame:
 
 
 @query(f"WITH {SHIPMENTS}, daily AS (SELECT site, time, sum(x) AS c_p24h FROM shipments GROUP BY 1, 2) "
-       f"SELECT site, time, c_p24h, {_frame_sql('sum', 2, 'c_p24h')} AS c_p48h, "
-       f"{_frame_sql('sum', 5, 'c_p24h')} AS c_p120h FROM daily", rounded=["c_p24h", "c_p48h", "c_p120h"])
+       f"SELECT site, time, c_p24h, {frame_sql('sum', 'c_p24h', 2)} AS c_p48h, "
+       f"{frame_sql('sum', 'c_p24h', 5)} AS c_p120h FROM daily", rounded=["c_p24h", "c_p48h", "c_p120h"])
 def rolling_days(t: Tables) -> DataFrame:
     """Daily series, two- and five-day sums."""
     daily = shipments(t).groupBy("site", "time").agg(F.sum("x").alias("c_p24h"))
@@ -87,8 +83,8 @@ def row_positions(t: Tables) -> DataFrame:
     return blocks.row_index(log(t), ["site"], "time", ["event_id"]).select("site", "time", "event_id", "idx")
 
 
-@query(f"WITH {GAPPY} SELECT site, time, event_id, {_frame_sql('sum', 12, w=', event_id')} AS s12, "
-       f"{_frame_sql('max', 48, w=', event_id')} AS m48 FROM log", rounded=["s12", "m48"])
+@query(f"WITH {GAPPY} SELECT site, time, event_id, {frame_sql('sum', 'x', 12, 'time, event_id')} AS s12, "
+       f"{frame_sql('max', 'x', 48, 'time, event_id')} AS m48 FROM log", rounded=["s12", "m48"])
 def rolling_raw(t: Tables) -> DataFrame:
     """Row frames over raw readings, cut into chunks that carry a copy of the rows before them."""
     out = blocks.roll(log(t, gaps=True), ["site"], "time", {"s12": ("x", "sum", 12), "m48": ("x", "max", 48)},
@@ -158,8 +154,6 @@ FROM grid WHERE lon = 308.5 AND lat = -1.75 GROUP BY 1, 2, 3
 def variables_side_by_side(t: Tables) -> DataFrame:
     cell = grids.exact_cell(grid(t))
     kinds = ["click", "error", "purchase", "signup", "view"]
-    from gapweave.operators.reshape import to_wide
-
     return to_wide(cell, ["lon", "lat", "time_hours"], "variable", kinds, "value", how=F.max)
 
 

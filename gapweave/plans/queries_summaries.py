@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gapweave.functions.nullrules import lenient_sum, present, strict_mean, strict_sum
 from gapweave.operators import aggregate
 from gapweave.plans.catalog import Tables, query
-from gapweave.plans.standin import GAPPY, HOURLY, LOG, SENSOR_HOURS, SHIPMENTS, hourly, log, sensors, shipments
+from gapweave.plans.standin import GAPPY, LOG, SENSOR_HOURS, SHIPMENTS, log, sensors, shipments
 
 _HOUR = "date_trunc('hour', time)"
 

@@ -21,6 +21,12 @@ SENSORS = {"purchase": "t28m", "view": "e5_t2m", "click": "e5_ws", "signup": "g_
 GAP_ABOVE = 10.0
 
 
+def frame_sql(how: str, x: str, n: int, order: str = "time") -> str:
+    """SQL of a guarded trailing frame per site."""
+    over = f"(PARTITION BY site ORDER BY {order} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    return f"CASE WHEN count({x}) OVER {over} = {n} THEN {how}({x}) OVER {over} END"
+
+
 def log(t: Tables, gaps: bool = False) -> DataFrame:
     x = F.sqrt("value")
     if gaps:
