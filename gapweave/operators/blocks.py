@@ -32,12 +32,13 @@ def block_of(time: Column, seconds: int) -> Column:
     return stamp - F.pmod(stamp, F.lit(seconds))
 
 
-def block_width(df: DataFrame, keys: Sequence[str], time: str, rows: int = BLOCK_ROWS) -> int:
+def block_width(df: DataFrame, keys: Sequence[str], time: str, rows: int | None = None) -> int:
     """Widest block in which no series exceeds ``rows``.
 
     One pass counts hours and days; minutes and seconds are counted only when
     an hour is too full.
     """
+    rows = BLOCK_ROWS if rows is None else rows
     for coarse, fine in (BLOCK_SECONDS[:2], BLOCK_SECONDS[2:]):
         counts = df.groupBy(*keys, block_of(F.col(time), fine).alias("__b")).agg(F.count(F.lit(1)).alias("n"))
         wide = counts.groupBy(*keys, (F.col("__b") - F.pmod("__b", F.lit(coarse))).alias("__b")).agg(

@@ -24,6 +24,8 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gapweave.session import use_checkpoints
+
 # Rows of each target that training / testing may use.
 TARGET_RULES: dict[str, tuple[str, str]] = {
     "t28m": ("true", "true"),
@@ -107,6 +109,7 @@ def search_boosted(train: DataFrame, target: str, covariates: Sequence[str], *,
                    subsets: Sequence[str] = ("0.8",), trees: int = 50, folds: int = 3,
                    parallelism: int = 4) -> Search:
     """Boosted trees over a grid; the grid's size is the number of models tried."""
+    use_checkpoints(train.sparkSession)
     model = GBTRegressor(labelCol=target, featuresCol="__features", predictionCol="__pred", maxIter=trees, seed=SEED)
     grid = (ParamGridBuilder().addGrid(model.maxDepth, list(depths)).addGrid(model.stepSize, list(steps))
             .addGrid(model.subsamplingRate, list(rates)).addGrid(model.featureSubsetStrategy, list(subsets)).build())

@@ -20,28 +20,38 @@ from gapweave.operators.combine import join_groups
 
 #: Largest group, in rows, that one task is asked to sort.
 GROUP_ROWS = 2_000_000
-#: Value blocks per larger group.
-BLOCKS = 64
+#: Most value blocks a larger group is cut into.
+MOST_BLOCKS = 8_192
 
 
-def value_ranks(df: DataFrame, keys: Sequence[str], value: str, blocks: int = BLOCKS,
+def _elements_below(sorted_array: Column, value: Column, longest: int) -> Column:
+    """How many elements of a sorted array are below ``value``, by halving steps."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(longest.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda seen, step: F.when(
+        F.get(sorted_array, seen + step - 1) < value, seen + step).otherwise(seen))
+
+
+def value_ranks(df: DataFrame, keys: Sequence[str], value: str, blocks: int | None = None,
                 bound: int | None = None) -> DataFrame:
     """Distinct values per group: ``n`` copies, ``below`` / ``upto`` ranks, ``total`` size.
 
-    ``bound`` is a proven limit of the number of groups.
+    ``bound`` is a proven limit of the number of groups.  Without ``blocks`` the
+    largest group decides how many value blocks there are.
     """
+    if blocks is None:
+        blocks = min(MOST_BLOCKS, 2 + 2 * largest_group(df, keys) // max(1, GROUP_ROWS))
     counts = (df.where(F.col(value).isNotNull()).groupBy(*keys, value)
               .agg(F.count(F.lit(1)).alias("n")))
     inner = [i / blocks for i in range(1, blocks)]
     cuts = counts.groupBy(*keys).agg(
-        F.array_distinct(F.percentile_approx(value, F.array(*[F.lit(p) for p in inner]), F.lit(100 * blocks))).alias("__cuts"),
+        F.array_distinct(F.percentile_approx(value, F.array(*[F.lit(p) for p in inner]), F.lit(max(1_000, 10 * blocks)))).alias("__cuts"),
         F.sum("n").alias("total"), F.count(F.lit(1)).alias("__weight"))
     if bound is None:
         cuts, bound, _ = counted(cuts)
     else:
         cuts = cuts.persist()  # used twice below
     placed = attach(counts, cuts, keys, bound=bound, weight="__weight", row_bytes=8 * blocks)
-    placed = placed.withColumn("__block", F.size(F.filter("__cuts", lambda c: c < F.col(value)))).drop("__cuts")
+    placed = placed.withColumn("__block", _elements_below(F.col("__cuts"), F.col(value), blocks)).drop("__cuts")
 
     in_order = Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     sizes = placed.groupBy(*keys, "__block").agg(F.sum("n").alias("__in"), F.count(F.lit(1)).alias("__weight"))

@@ -48,6 +48,12 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+def use_checkpoints(spark: SparkSession) -> None:
+    """Let iterative fits cut their lineage in the shared folder, so a lost executor costs little."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{shared_folder(spark).rstrip('/')}/checkpoints")
+
+
 def staging_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
