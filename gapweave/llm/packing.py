@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gapweave.llm.shared import slices
+from gapweave.llm.shared import reachable, slices
 from gapweave.llm.wordtokens import WordTokens
 
 LENGTH = 2048
@@ -167,4 +167,4 @@ def pack_texts(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "
     schema = SCHEMA.format(key=key_type.simpleString()) + ", ids_crc32 long"
     names = ["key", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "ids_crc32"]
     kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[key_type.simpleString()]
-    return slim.mapInArrow(run, schema).withColumnRenamed("key", key)
+    return reachable(slim).mapInArrow(run, schema).withColumnRenamed("key", key)

@@ -8,11 +8,28 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapweave.llm import packing, quality, simhash, toxicity
+from gapweave.llm import bpe, chat, chatdigest, embeddings, lmscore, packing, pages, quality, simhash, tokencounts, toxicity
 from gapweave.llm.shared import table
-from gapweave.llm.sql import QUALITY_SQL
+from gapweave.llm.sql import CHAT_SQL, EMBEDDINGS_SQL, QUALITY_SQL
 
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: A text that speaks the template's own control strings.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op1_text_density(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(table(spark, folder, "pages"))
+
+
+def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(table(spark, folder, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
+
+
+def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], turns.schema)
+    return chatdigest.digests(chat.format_chats(turns.unionAll(extra)))
 
 
 def op4_cost_packing(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,6 +37,10 @@ def op4_cost_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op5_backoff_automaton(spark: SparkSession, folder: str) -> DataFrame:
+    return lmscore.score_corpus(table(spark, folder, "documents"))
+
+
 def op6_quality_cascade(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_table(table(spark, folder, "documents"))
 
@@ -29,11 +50,25 @@ def op7_simhash_pigeonring(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_token_attribution(spark: SparkSession, folder: str) -> DataFrame:
+    return tokencounts.token_counts(table(spark, folder, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
+
+
 def op9_toxicity_ngrams(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_table(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op10_collision_counting(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_cost_packing, op6_quality_cascade, op7_simhash_pigeonring, op9_toxicity_ngrams)
+    f.__name__: f
+    for f in (op1_text_density, op2_byte_bpe, op3_chat_format, op4_cost_packing, op5_backoff_automaton, op6_quality_cascade,
+              op7_simhash_pigeonring, op8_token_attribution, op9_toxicity_ngrams, op10_collision_counting)
+}
+ORACLE_SQL: dict[str, str] = {
+    "op3_chat_format": CHAT_SQL,
+    "op6_quality_cascade": QUALITY_SQL,
+    "op10_collision_counting": EMBEDDINGS_SQL,
 }
-ORACLE_SQL: dict[str, str] = {"op6_quality_cascade": QUALITY_SQL}

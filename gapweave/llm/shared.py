@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -50,6 +51,16 @@ def widened(df: DataFrame, name: str, kind: DataType) -> StructType:
     return StructType([*df.schema.fields, StructField(name, kind)])
 
 
+def reachable(df: DataFrame) -> DataFrame:
+    """The frame; Python workers started from now on find this package where the driver found it."""
+    folder = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = df.sparkSession.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if folder not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(x for x in (folder, *paths) if x)
+    return df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The frame written to the shared checkpoint folder, its lineage cut; a lost executor costs no rerun."""
     use_checkpoints(df.sparkSession)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from gapweave.llm.components import components
-from gapweave.llm.shared import byte_words, cut, fresh, slices, widened
+from gapweave.llm.shared import byte_words, cut, fresh, reachable, slices, widened
 
 BITS = 64
 SEED = 42
@@ -66,7 +66,7 @@ def with_fingerprints(df: DataFrame, text: str = "text", into: str = "fp", shing
                 prints = np.array([fingerprint(t.as_py(), shingle) for t in part.column(text)], np.uint64)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(prints.view(np.int64))], [*part.schema.names, into])
 
-    return df.mapInArrow(run, widened(df, into, LongType()))
+    return reachable(df).mapInArrow(run, widened(df, into, LongType()))
 
 
 def ring(segments: int) -> list[tuple[int, int]]:

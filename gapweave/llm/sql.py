@@ -34,3 +34,57 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR 100 * n_stutters > 30 * n_words OR word_chars < 2 * n_words OR word_chars > 40 * n_words) AS kept
 FROM judged
 """
+
+CHAT_SQL = r"""
+WITH RECURSIVE turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -1, t, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS x(t, r)
+),
+measured AS (
+  SELECT *, length(regexp_replace(replace(text, '\', '\\'),
+           '(<</SYS>>|<<SYS>>|\[ANSWER\]|\[/INST\]|\[/ROLE\]|\[/TURN\]|\[INST\]|\[ROLE\]|\[TURN\]|</s>|<s>)', '\1+', 'g')) AS n_text,
+         length(regexp_replace(replace(role, '\', '\\'),
+           '(<</SYS>>|<<SYS>>|\[ANSWER\]|\[/INST\]|\[/ROLE\]|\[/TURN\]|\[INST\]|\[ROLE\]|\[TURN\]|</s>|<s>)', '\1+', 'g')) AS n_role
+  FROM turns
+),
+framed AS (
+  SELECT *, n_text + CASE role WHEN 'system' THEN 8 + 9 WHEN 'user' THEN 7 + 8 WHEN 'assistant' THEN 9 + 5
+                     ELSE 7 + n_role + 8 + 7 + 8 END AS n_formatted
+  FROM measured
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       (sum(n_formatted) + 3)::BIGINT AS formatted_chars,
+       regexp_full_match(string_agg(role || ',', '' ORDER BY turn NULLS FIRST, role, text),
+                         '(system,)?(user,assistant,)*(user,)?') AS valid
+FROM framed GROUP BY conv_id
+"""
+
+EMBEDDINGS_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+),
+usable AS (
+  SELECT vec_id, e FROM vectors
+  WHERE vec_id IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+),
+near AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable AS a JOIN usable AS b
+    ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95
+),
+reach AS (
+  SELECT a, b FROM near
+  UNION
+  SELECT r.a, n.b FROM reach AS r JOIN near AS n ON r.b = n.a
+),
+joined AS (
+  SELECT v.vec_id, (SELECT count(*) FROM near WHERE a = v.vec_id)::BIGINT AS n_links,
+         least(v.vec_id, coalesce((SELECT min(b) FROM reach WHERE a = v.vec_id), v.vec_id))::BIGINT AS component_id
+  FROM vectors AS v
+)
+SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM joined
+"""

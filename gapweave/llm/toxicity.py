@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from gapweave.llm.shared import byte_words, fresh, slices, widened
+from gapweave.llm.shared import byte_words, fresh, reachable, slices, widened
 
 ORDERS = (4, 5, 6)
 HASH_BITS = 20
@@ -184,7 +184,7 @@ def score_texts(df: DataFrame, model: Model, text: str = "text", into: str = "sc
     def emit(part: pa.RecordBatch, scores: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([*part.columns, pa.array(scores)], [*part.schema.names, into])
 
-    return df.mapInArrow(_scorer(model, text, emit), widened(df, into, DoubleType()))
+    return reachable(df).mapInArrow(_scorer(model, text, emit), widened(df, into, DoubleType()))
 
 
 def toxicity_table(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
