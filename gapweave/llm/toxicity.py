@@ -30,7 +30,7 @@ from pyspark.sql.types import DoubleType
 
 from gapweave.llm.shared import byte_words, fresh, reachable, slices, widened
 
-ORDERS = (4, 5, 6)
+ORDERS = (4, 6, 8)
 HASH_BITS = 20
 FIT_ROWS = 6000
 THRESHOLD = 0.7
@@ -113,8 +113,8 @@ def _without_copies(texts: list[str | None], slots: int = 8, shared: int = 2) ->
     return out
 
 
-def fit(texts: list[str | None], labels: list[int], min_texts: int = 3, least_phi: float = 0.006, least_chi: float = 20.0, smoothing: float = 1.0,
-        penalty: float = 1e-5, rounds: int = 300) -> Model:
+def fit(texts: list[str | None], labels: list[int], min_texts: int = 3, least_phi: float = 0.006, least_chi: float = 36.0, smoothing: float = 1.0,
+        penalty: float = 1e-4, lift: float = 0.75, rounds: int = 300) -> Model:
     """The classifier for texts with labels 0 and 1; the same rows give the same model."""
     size = 1 << HASH_BITS
     single = _without_copies(texts)
@@ -140,8 +140,9 @@ def fit(texts: list[str | None], labels: list[int], min_texts: int = 3, least_ph
     starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
     column, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), np.diff(starts))
     value = ratio[column]
-    # toxic and clean texts weigh the same in all
-    weight = np.where(y == 1, 0.5 / positives, 0.5 / (len(y) - positives))
+    # between one weight per text and one weight per kind
+    share = (len(y) - positives) / positives
+    weight = np.where(y == 1, share**lift, 1.0) / len(y)
     n = len(index)
     w, m, v = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)  # the last is the bias
     for k in range(1, rounds + 1):  # Adam on the whole training set
