@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from gapweave.llm.shared import reachable, slices
 
-MEMO_PIECES = 400_000
+MEMO_PIECES = 250_000
 #: Longer pre-tokens hardly come back; they are not kept.
 MEMO_LETTERS = 64
 
