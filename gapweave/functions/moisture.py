@@ -86,6 +86,6 @@ def not_negative(x: Column) -> Column:
 
 
 def conductance_curve(psi: Column, psi_max: Column | float = -0.1) -> Column:
-    """Stomatal response falling from 1 at ``psi_max`` through zero slope far below it."""
+    """Stomatal response: 1 at zero potential, one half at ``psi_max``, falling towards zero below."""
     top = F.lit(psi_max) if isinstance(psi_max, float) else psi_max
-    return (1 - (psi - top) / (psi + top)) / 2
+    return top / (psi + top)

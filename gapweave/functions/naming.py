@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Name marks of covariates, by origin (reanalysis, satellite, blended rain).
-COVARIATE_MARKS = ("e5", "g_", "c_")
+COVARIATE_MARKS = ("e5_", "g_", "c_")
 # Fixed value: the variable sits between the first two dots of an archive file name.
 VARIABLE_IN_FILE_NAME = r"(?<=\.)[^.]+"
 
@@ -36,8 +36,8 @@ def suffix_clashes(left: DataFrame, right: DataFrame, on: Iterable[str], marks:
 
 def covariates(columns: Iterable[str], extra: Iterable[str] = ("month", "hour"),
                marks: tuple[str, ...] = COVARIATE_MARKS) -> list[str]:
-    """Model inputs: names carrying an origin mark, then calendar columns."""
-    return [c for c in columns if any(m in c for m in marks)] + list(extra)
+    """Model inputs: names that begin with an origin mark, then calendar columns."""
+    return starting_with(columns, *marks) + list(extra)
 
 
 def starting_with(columns: Iterable[str], *starts: str) -> list[str]:

@@ -74,8 +74,8 @@ def attach(rows: DataFrame, groups: DataFrame, on: Sequence[str], *, how: str =
     groups, n_groups, n_rows = counted(groups, weight)
     if fits(n_groups, row_bytes):
         return _attach_small(rows, groups.drop(weight) if weight else groups, on, how)
-    if weight is None:
-        raise ValueError("a large table of groups needs a weight to split heavy groups off")
+    if weight is None:  # count the rows behind each group
+        return look_up(rows, groups, on, how=how, row_bytes=row_bytes)
     share = max(HEAVY_SHARE, row_bytes / BROADCAST_BYTES)
     return attach_split(rows, groups, on, weight, heavy_rows=max(1, int(n_rows * share)), how=how)
 

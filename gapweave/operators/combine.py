@@ -12,9 +12,22 @@ from gapweave.functions.naming import suffix_clashes
 from gapweave.operators.attach import look_up
 
 
+def _null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    if how not in ("inner", "left"):
+        raise ValueError(f"{how} join: only inner and left joins keep the key of the left side")
+    marks = {c: f"__r_{c}" for c in on}
+    right = right.withColumnsRenamed(marks)
+    same = reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[marks[c]]) for c in on])
+    out = left.join(right, same, how).drop(*marks.values())
+    return out.select(*on, *[c for c in out.columns if c not in on])
+
+
 def join_on(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join; size and skew of the sides are left to adaptive execution."""
-    return left.join(right, list(on), how)
+    """Equi-join in which a NULL key meets a NULL key; size and skew of the sides are left to adaptive execution.
+
+    ``how`` is inner or left.
+    """
+    return _null_safe(left, right, list(on), how)
 
 
 def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
@@ -22,20 +35,17 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
     common = [c for c in left.columns if c in right.columns]
     if not common:
         raise ValueError("no common column to join on")
-    return left.join(right, common, how)
+    return _null_safe(left, right, common, how)
 
 
 def suffix_join(left: DataFrame, right: DataFrame, on: Sequence[str], marks: tuple[str, str]) -> DataFrame:
     left, right = suffix_clashes(left, right, on, marks)
-    return left.join(right, list(on), "inner")
+    return _null_safe(left, right, list(on), "inner")
 
 
 def join_groups(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left join of two tables that are both unique on ``on``; NULL keys match."""
-    marks = {c: f"__r_{c}" for c in on}
-    right = right.withColumnsRenamed(marks)
-    same = reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[marks[c]]) for c in on])
-    return left.join(right, same, "left").drop(*marks.values())
+    """Left join on ``on``; NULL keys match."""
+    return _null_safe(left, right, on, "left")
 
 
 def daily_onto_hourly(hourly: DataFrame, daily: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -86,4 +96,4 @@ def key_coverage(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFr
     a = left.select(*on).distinct()
     b = right.select(*on).distinct().withColumn("__hit", F.lit(True))
     hit = F.col("__hit").isNotNull()
-    return a.join(b, list(on), "left").groupBy(hit.alias("found")).agg(F.count(F.lit(1)).alias("n"))
+    return _null_safe(a, b, on, "left").groupBy(hit.alias("found")).agg(F.count(F.lit(1)).alias("n"))

@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 from gapweave.functions import clock, moisture
 from gapweave.functions.nullrules import lenient_sum, strict_sum
 from gapweave.operators.attach import attach, on_each_row
-from gapweave.operators.combine import join_groups
-from gapweave.operators.quantiles import cumulative_share, quantiles
+from gapweave.operators.combine import join_on
+from gapweave.operators.quantiles import value_ranks
 
-#: Even spacing of the quantile maps.
-NODES = 101
 #: Hours of a day, and the missing one.
 HOURS = 25
 
@@ -37,30 +35,49 @@ def fill_rain(df: DataFrame, keys: Sequence[str], time: str, gauge: str, satelli
     return fill(hourly, "p_mm_obs", "p_gpm", "p_mm_gf", flag=None)
 
 
-def _interpolate(nodes: Column, tau: Column, count: int) -> Column:
-    """Value of an evenly spaced quantile map at ``tau``, held constant beyond its ends."""
-    place = F.least(F.greatest(tau, F.lit(0.0)), F.lit(1.0)) * (count - 1)
-    low = F.least(F.floor(place), F.lit(count - 2)).cast("int")
-    a, b = F.get(nodes, low), F.get(nodes, low + 1)
-    return a + (b - a) * (place - low)
+def _order_statistics(df: DataFrame, by: Sequence[str], value: str, bound: int | None) -> DataFrame:
+    """One row per value and group: its place ``__at`` (0, 1, ...) in sorted order, and ``__v``."""
+    ranks = value_ranks(df, by, value, bound=bound)
+    return ranks.select(*by, F.explode(F.sequence("below", F.col("upto") - 1)).alias("__at"), F.col(value).alias("__v"))
 
 
 def quantile_map(full: DataFrame, overlap: DataFrame, by: Sequence[str], model: str, obs: str, into: str, *,
-                 nodes: int = NODES, bound: int | None = None) -> DataFrame:
+                 bound: int | None = None) -> DataFrame:
     """Quantile delta mapping (Cannon, Sobie and Murdock 2015, additive form).
 
     Each modelled value keeps its distance from the modelled calibration
     quantile and takes the observed quantile of the same rank:
-    ``x + Q_obs(tau) - Q_model(tau)`` with ``tau`` its rank in the full record.
-    ``overlap`` holds the rows with both values.
+    ``x + Q_obs(tau) - Q_model(tau)`` with ``tau = (rank - 1) / (n - 1)`` in the
+    full record (equal values share the lowest rank).  Quantiles are linear
+    between neighbouring order statistics of the calibration rows, the rows of
+    ``overlap`` with both values; no grid of nodes stands between.  A group
+    without such a row has no result.
     """
-    grid = [i / (nodes - 1) for i in range(nodes)]
-    maps = quantiles(overlap, by, {"__q_obs": obs, "__q_mod": model}, grid, bound)
-    ranked = cumulative_share(full, by, model, "__tau", bound)
-    maps = join_groups(maps, full.groupBy(*by).agg(F.count(F.lit(1)).alias("__weight")), by)
-    ranked = attach(ranked, maps, by, bound=bound, weight="__weight", row_bytes=16 * nodes)
-    shift = _interpolate(F.col("__q_obs"), F.col("__tau"), nodes) - _interpolate(F.col("__q_mod"), F.col("__tau"), nodes)
-    return ranked.withColumn(into, F.col(model) + shift).drop("__tau", "__q_obs", "__q_mod")
+    pairs = overlap.where(F.col(obs).isNotNull() & F.col(model).isNotNull())
+    seen, made = (_order_statistics(pairs, by, c, bound) for c in (obs, model))
+    # each order statistic stands at its own place and as the upper neighbour of the place before
+    both = seen.withColumn("__k", F.lit("obs")).unionByName(made.withColumn("__k", F.lit("model")))
+    spread = both.select(*by, "__k", "__v", F.explode(F.array(F.struct(F.col("__at").alias("at"), F.lit(0).alias("up")),
+                                                             F.struct((F.col("__at") - 1).alias("at"), F.lit(1).alias("up")))).alias("p"))
+
+    def value(kind: str, up: int) -> Column:
+        return F.max(F.when((F.col("__k") == kind) & (F.col("p.up") == up), F.col("__v")))
+
+    maps = spread.where("p.at >= 0").groupBy(*by, F.col("p.at").alias("__low")).agg(
+        value("obs", 0).alias("__o0"), value("obs", 1).alias("__o1"), value("model", 0).alias("__m0"), value("model", 1).alias("__m1"))
+    sizes = pairs.groupBy(*by).agg(F.count(F.lit(1)).alias("__m"))
+    ranks = value_ranks(full, by, model, bound=bound)
+    tau = F.when(F.col("total") > 1, F.col("below") / (F.col("total") - 1)).otherwise(F.lit(0.0))
+    placed = attach(ranks.withColumn("__tau", tau), sizes, by, bound=bound)
+    place = F.col("__tau") * (F.col("__m") - 1)
+    placed = placed.withColumns({"__low": F.floor(place), "__w": place - F.floor(place)})
+    met = join_on(placed, maps, [*by, "__low"], "left")
+
+    def between(a: str, b: str) -> Column:
+        return F.col(a) + F.coalesce((F.col(b) - F.col(a)) * F.col("__w"), F.lit(0.0))
+
+    shifts = met.select(*by, model, F.col("n").alias("__weight"), (between("__o0", "__o1") - between("__m0", "__m1")).alias("__shift"))
+    return attach(full, shifts, [*by, model], weight="__weight").withColumn(into, F.col(model) + F.col("__shift")).drop("__shift")
 
 
 def fill_from_group_mean(df: DataFrame, by: Sequence[str], obs: str, pred: str, into: str, *,

@@ -47,18 +47,19 @@ def usable(df: DataFrame, target: str, phase: str) -> DataFrame:
     return df.where(F.col(target).isNotNull()).where(rule)
 
 
-def with_missing_flags(df: DataFrame, covariates: Sequence[str]) -> DataFrame:
-    return df.withColumns({f"{c}_missing": F.col(c).isNull().cast("double") for c in covariates})
+def _private(columns: Sequence[str]) -> list[str]:
+    return [f"__x_{c}" for c in columns]
 
 
 def _features(covariates: Sequence[str]) -> list:
     filled = [f"__f_{c}" for c in covariates]
-    return [Imputer(inputCols=list(covariates), outputCols=filled),
+    return [Imputer(inputCols=_private(covariates), outputCols=filled),
             VectorAssembler(inputCols=filled, outputCol="__features")]
 
 
-def as_double(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+def with_inputs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Model inputs as doubles in columns of their own; the frame's columns keep their types."""
+    return df.withColumns({x: F.col(c).cast("double") for c, x in zip(columns, _private(columns))})
 
 
 @dataclass
@@ -79,36 +80,67 @@ class Search:
 
 
 @contextmanager
-def kept(train: DataFrame, columns: Sequence[str]):
-    """Training columns as doubles, kept while a model iterates over them.
+def kept(train: DataFrame, covariates: Sequence[str], target: str, extra: Sequence[Column] = ()):
+    """Target and inputs as doubles, kept while a model iterates over them.
 
     Every iteration runs a few jobs, so a small set should not be spread over
     more tasks than it has work for; a large one keeps its partitions.
     """
-    data = as_double(train, columns).select(*columns).persist()
+    picked = with_inputs(train, covariates).withColumn(target, F.col(target).cast("double"))
+    data = picked.select(*_private(covariates), target, *extra).persist()
     try:
         yield data.coalesce(1 + data.count() // PARTITION_ROWS)
     finally:
         data.unpersist()
 
 
+def fold_of(columns: Sequence[str], folds: int) -> Column:
+    """Cross-validation fold: whole months take turns, so neighbouring hours share a fold.
+
+    Without a calendar among ``columns`` a hash of all of them decides.  Either
+    way the fold belongs to the row, however the rows are partitioned.
+    """
+    if "year" in columns and "month" in columns:
+        number = F.col("year").cast("long") * 12 + F.col("month").cast("long")
+    elif "date" in columns:
+        number = F.year("date").cast("long") * 12 + F.month("date").cast("long")
+    else:
+        number = F.xxhash64(*columns)
+    return F.pmod(F.coalesce(number, F.lit(0)), F.lit(folds)).cast("int")
+
+
 def _search(train: DataFrame, target: str, covariates: Sequence[str], model, grid, folds: int,
             parallelism: int) -> Search:
+    """Best of the grid by error across folds of months; a single candidate is fitted once, on all rows."""
     stages = Pipeline(stages=[*_features(covariates), model])
     evaluator = RegressionEvaluator(labelCol=target, predictionCol="__pred", metricName="rmse")
-    search = CrossValidator(estimator=stages, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
-                            parallelism=parallelism, seed=SEED)
-    with kept(train, [*covariates, target]) as data:
-        found: CrossValidatorModel = search.fit(data)
     named = [", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)) for m in grid]
+    with kept(train, covariates, target, [fold_of(train.columns, folds).alias("__fold")]) as data:
+        if len(grid) == 1:
+            best = stages.fit(data, grid[0])
+            return Search(best, list(covariates), [(named[0], float(evaluator.evaluate(best.transform(data))))])
+        # folds without rows are left out: a short record has few months
+        present = sorted(r[0] for r in data.select("__fold").distinct().collect())
+        places = {old: new for new, old in enumerate(present)}
+        if len(places) < 2:
+            raise ValueError("a search needs training rows of two months at least")
+        data = data.replace(places, subset=["__fold"]) if len(places) < folds else data
+        search = CrossValidator(estimator=stages, estimatorParamMaps=grid, evaluator=evaluator, numFolds=len(places),
+                                parallelism=parallelism, seed=SEED, foldCol="__fold")
+        found: CrossValidatorModel = search.fit(data)
     return Search(found.bestModel, list(covariates), list(zip(named, map(float, found.avgMetrics))))
 
 
-def search_boosted(train: DataFrame, target: str, covariates: Sequence[str], *, depths: Sequence[int] = (3, 5),
+def search_boosted(train: DataFrame, target: str, covariates: Sequence[str], *, depths: Sequence[int] = (3, 5, 7),
                    steps: Sequence[float] = (0.1,), rates: Sequence[float] = (0.8,),
                    subsets: Sequence[str] = ("0.8",), trees: int = 50, folds: int = 3,
                    parallelism: int = 4) -> Search:
-    """Boosted trees over a grid; the grid's size is the number of models tried."""
+    """Boosted trees over a grid; the grid's size is the number of models tried.
+
+    Folds are the same however the rows are partitioned.  The trees draw their
+    row samples per partition, so with a rate below one they still vary with
+    the partitioning.
+    """
     use_checkpoints(train.sparkSession)
     model = GBTRegressor(labelCol=target, featuresCol="__features", predictionCol="__pred", maxIter=trees, seed=SEED)
     grid = (ParamGridBuilder().addGrid(model.maxDepth, list(depths)).addGrid(model.stepSize, list(steps))
@@ -130,32 +162,35 @@ def fit_forest(train: DataFrame, target: str, covariates: Sequence[str], *, tree
                depth: int = 8) -> PipelineModel:
     model = RandomForestRegressor(labelCol=target, featuresCol="__features", predictionCol="__pred",
                                   numTrees=trees, maxDepth=depth, seed=SEED)
-    with kept(train, [*covariates, target]) as data:
+    with kept(train, covariates, target) as data:
         return Pipeline(stages=[*_features(covariates), model]).fit(data)
 
 
 def fit_linear(train: DataFrame, target: str, covariates: Sequence[str]) -> PipelineModel:
     """All covariates, additive and straight."""
     model = LinearRegression(labelCol=target, featuresCol="__features", predictionCol="__pred")
-    with kept(train, [*covariates, target]) as data:
+    with kept(train, covariates, target) as data:
         return Pipeline(stages=[*_features(covariates), model]).fit(data)
 
 
 def fit_general(train: DataFrame, target: str, terms: Sequence[str], *, family: str = "gaussian",
                 link: str = "identity", ridge: float = 0.0) -> PipelineModel:
-    """Generalised linear model on ready-made term columns (rows must be complete)."""
+    """Generalised linear model on term columns; rows that lack a term take no part."""
     model = GeneralizedLinearRegression(labelCol=target, featuresCol="__features", predictionCol="__pred",
                                         family=family, link=link, regParam=ridge, maxIter=50)
-    assemble = VectorAssembler(inputCols=list(terms), outputCol="__features")
-    with kept(train, [*terms, target]) as data:
+    assemble = VectorAssembler(inputCols=_private(terms), outputCol="__features", handleInvalid="keep")
+    whole = train.dropna(subset=[*terms, target])
+    with kept(whole, terms, target) as data:
         return Pipeline(stages=[assemble, model]).fit(data)
 
 
-def score(model: PipelineModel, df: DataFrame, into: str, covariates: Sequence[str] = ()) -> DataFrame:
-    """Add predictions as a column; rows stay where they are."""
-    keep = df.columns
-    scored = model.transform(as_double(df, covariates) if covariates else df)
-    return scored.select(*keep, F.col("__pred").alias(into))
+def score(model: PipelineModel, df: DataFrame, into: str, covariates: Sequence[str]) -> DataFrame:
+    """Add predictions as a column; rows stay where they are, and all columns keep their types.
+
+    A row that lacks a term of a generalised linear model has no prediction.
+    """
+    scored = model.transform(with_inputs(df, covariates))
+    return scored.select(*df.columns, F.when(~F.isnan("__pred"), F.col("__pred")).alias(into))
 
 
 def importance(spark, model: PipelineModel, covariates: Sequence[str]) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from gapweave.functions import clock
 from gapweave.functions.nullrules import guarded
+from gapweave.operators.combine import join_groups
 
 _AGGREGATES = {"sum": F.sum, "avg": F.avg, "max": F.max, "min": F.min}
 
@@ -48,9 +49,17 @@ def deaccumulate(df: DataFrame, keys: Sequence[str], order: str, value: str, int
 
 
 def fill_hours(df: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
-    """Add the missing hours of each series, so that row frames are time frames."""
-    spans = df.groupBy(*keys).agg(F.min(time).alias("__from"), F.max(time).alias("__to"))
+    """Add the missing hours of each series, so that row frames are time frames.
+
+    Every row stays: in a series with a NULL key, off the full hour, or without
+    a time.  Only clock hours without any row are added.
+    """
+    hour = clock.floor_time(F.col(time), 60)
+    timed = df.where(F.col(time).isNotNull()).withColumn("__hour", hour)
+    spans = timed.groupBy(*keys).agg(F.min("__hour").alias("__from"), F.max("__hour").alias("__to"))
     hours = F.floor(clock.elapsed_seconds(F.col("__to"), F.col("__from")) / 3600).cast("int")
     grid = spans.select(*keys, "__from", F.explode(F.sequence(F.lit(0), hours)).alias("__h"))
-    grid = grid.select(*keys, clock.add("HOUR", F.col("__h"), F.col("__from")).alias(time))
-    return grid.join(df, [*keys, time], "left")
+    grid = grid.select(*keys, clock.add("HOUR", F.col("__h"), F.col("__from")).alias("__hour"))
+    joined = join_groups(grid, timed, [*keys, "__hour"])
+    filled = joined.withColumn(time, F.coalesce(F.col(time), F.col("__hour"))).select(*df.columns)
+    return filled.unionByName(df.where(F.col(time).isNull()))

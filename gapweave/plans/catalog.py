@@ -60,6 +60,7 @@ def query(sql: str | None = None, rounded: Sequence[str] = (), name: str | None
 def load() -> dict[str, Query]:
     """All queries; importing the modules registers them."""
     from gapweave.plans import (  # noqa: F401
+        queries_checks,
         queries_cleaning,
         queries_filling,
         queries_models,

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from gapweave.functions import naming
 from gapweave.functions.nullrules import numeric_columns
-from gapweave.operators import checks, models, sampling
+from gapweave.operators import checks, evaluate, models, sampling
 from gapweave.operators.aggregate import daily_stats
 
+#: The daily search: ten candidates.
+CANDIDATES = {"depths": (3, 4, 5, 6, 7), "steps": (0.05, 0.1)}
 #: Calendar and key columns that are no daily values.
 _NOT_VALUES = ("year", "month", "day", "hour", "ddate")
 
@@ -39,14 +41,15 @@ def daily(frame: DataFrame, values: Sequence[str] | None = None) -> DataFrame:
 
 
 def run(frame: DataFrame, target: str = "t28m", *, hours: int = 24, values: Sequence[str] | None = None,
-        seed: int = models.SEED, **search) -> tuple[DataFrame, models.Search]:
-    """Fit on complete days, predict all days.  Returns the product and the search."""
+        seed: int = models.SEED, **search) -> tuple[DataFrame, models.Search, DataFrame]:
+    """Fit on complete days, predict all days.  Returns the product, the search and the skill on held-out months."""
     days = with_stat_code(daily(complete_days(frame, target, hours), values))
     split = sampling.block_split(days, "date", ["site", "date", "stat"], seed).persist()
     train = models.usable(split.where("part = 'train'"), target, "train")
     checks.require_some_finite(train, target)
     inputs = naming.covariates(days.columns, extra=("month", "stat_code"))
-    found = models.search_boosted(train, target, inputs, **search)
-    split.unpersist()
+    found = models.search_boosted(train, target, inputs, **{**CANDIDATES, **search})
+    held = models.usable(split.where("part = 'test'"), target, "test")
+    skill = evaluate.skill(models.score(found.best, held, "pred", inputs), target, "pred")
     out = models.score(found.best, with_stat_code(daily(frame, values)), f"pred_{target}", inputs)
-    return out.select("site", "date", "stat", f"pred_{target}", target), found
+    return out.select("site", "date", "stat", f"pred_{target}", target), found, skill

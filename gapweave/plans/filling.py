@@ -29,7 +29,7 @@ def smooth_model(df: DataFrame, target: str, terms: Mapping[str, Column], keys:
 
 
 def smooth_fill(df: DataFrame, target: str, terms: Mapping[str, Column], keys: Sequence[str], **options) -> DataFrame:
-    """``<target>``, ``<target>_pred``, ``<target>_gf`` and ``gapfill`` for every row with complete covariates."""
+    """``<target>``, ``<target>_pred``, ``<target>_gf`` and ``gapfill`` for every row; no prediction where a covariate lacks."""
     model, _ = smooth_model(df, target, terms, keys, **options)
     scored = models.score(model, models.with_terms(df, terms), f"{target}_pred", list(terms))
     return gapfill.fill(scored, target, f"{target}_pred", f"{target}_gf").select(

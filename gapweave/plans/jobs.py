@@ -58,8 +58,9 @@ def hourly_product(dat: DataFrame, out: str, targets: Sequence[str] = layouts.TA
 
 
 def daily_product(dat: DataFrame, out: str, target: str = "t28m", *, run_date: dt.date | None = None,
-                  **search) -> DataFrame:
-    """Fit, predict and write the daily product (CSV); returns the leaderboard."""
-    product, found = daily.run(dat.persist(), target, **search)
+                  **search) -> dict[str, DataFrame]:
+    """Fit, predict and write the daily product (CSV); returns leaderboard, importance and held-out skill."""
+    spark = dat.sparkSession
+    product, found, skill = daily.run(dat, target, **search)
     writers.write_csv(product, out, run_date=run_date)
-    return found.leaderboard(dat.sparkSession)
+    return {"leaderboard": found.leaderboard(spark), "importance": found.importance(spark), "skill": skill}

@@ -31,8 +31,9 @@ def merge(rain: DataFrame, temperature: DataFrame, humidity: DataFrame, radiatio
     humidity formula does not hold.
     """
     moist = suffix_join(temperature, humidity, KEY, ("_temp", "_rh")).join(pressure.select(*KEY, "sp"), KEY)
-    if check:
-        checks.require(moist, {"t28m_gf >= 0": checks.warm("t28m_gf")})
+    if check:  # rides on the same pass
+        moist = moist.withColumn("t28m_gf", F.when(checks.warm("t28m_gf"), F.col("t28m_gf")).otherwise(
+            F.raise_error(F.concat(F.lit("t28m_gf >= 0 does not hold: "), F.col("t28m_gf").cast("string")))))
     moist = moist.withColumn("specific_humidity_gf", moisture.specific_humidity(
         F.col("rh28m_gf") / 100, F.col("t28m_gf"), F.col("sp")))
     out = rain.join(moist, KEY).join(shortwave(radiation), KEY).join(wind, KEY).join(longwave(thermal), KEY)

@@ -13,17 +13,6 @@ from gapweave.plans import merged
 from gapweave.plans.catalog import Tables, query
 from gapweave.plans.standin import HOURLY, LOG, SENSOR_HOURS, frame_sql, hourly, log, sensors
 
-_WIDE = ("wide AS (SELECT date_trunc('hour', time) AS time, avg(x) FILTER (WHERE site = 'purchase') AS t28m, "
-         "avg(x) FILTER (WHERE site = 'view') AS pred, avg(x) FILTER (WHERE site = 'click') AS e5_t2m FROM log GROUP BY 1)")
-
-
-def _wide(t: Tables) -> DataFrame:
-    """One series: observed, predicted and one covariate per hour."""
-    kinds = {"purchase": "t28m", "view": "pred", "click": "e5_t2m"}
-    return log(t).groupBy(clock.floor_time(F.col("time"), 60).alias("time")).agg(*[
-        F.avg(F.when(F.col("site") == k, F.col("x"))).alias(n) for k, n in kinds.items()])
-
-
 @query(f"""
 WITH {SENSOR_HOURS} SELECT site, time, t28m, e5_t2m, coalesce(t28m, e5_t2m) AS t28m_gf, t28m IS NULL AS gapfill FROM sensors
 """, rounded=["t28m", "e5_t2m", "t28m_gf"])
@@ -51,25 +40,20 @@ def rain_fill(t: Tables) -> DataFrame:
     return _rain(t)
 
 
-_NODES = 21
-_LIST = "[" + ", ".join(str(i / (_NODES - 1)) for i in range(_NODES)) + "]"
-
-
 @query(f"""
-WITH {LOG}, {_WIDE}, m AS (SELECT time, hour(time)::INTEGER AS hour, t28m AS vv, pred AS ws FROM wide WHERE pred IS NOT NULL),
-maps AS (SELECT hour, quantile_cont(vv, {_LIST}) AS qo, quantile_cont(ws, {_LIST}) AS qm FROM m WHERE vv IS NOT NULL GROUP BY 1),
-ranked AS (SELECT m.*, cume_dist() OVER (PARTITION BY hour ORDER BY ws) * {_NODES - 1} AS place FROM m),
-cut AS (SELECT *, least(floor(place), {_NODES - 2})::INTEGER AS low FROM ranked)
-SELECT time, cut.hour, ws, ws + (qo[low + 1] + (qo[low + 2] - qo[low + 1]) * (place - low))
-  - (qm[low + 1] + (qm[low + 2] - qm[low + 1]) * (place - low)) AS ws_bc FROM cut LEFT JOIN maps ON cut.hour = maps.hour
+WITH {SENSOR_HOURS}, m AS (SELECT site, time, hour(time)::INTEGER AS hour, t28m AS vv, coalesce(e5_t2m, e5_ws, g_p, c_p) AS ws FROM sensors),
+maps AS (SELECT hour, list(vv ORDER BY vv) AS qo, list(ws ORDER BY ws) AS qm, count(*) AS k FROM m WHERE vv IS NOT NULL AND ws IS NOT NULL GROUP BY 1),
+ranked AS (SELECT *, percent_rank() OVER (PARTITION BY hour ORDER BY ws) AS tau FROM m WHERE ws IS NOT NULL),
+cut AS (SELECT r.*, qo, qm, k, tau * (k - 1) AS place, floor(tau * (k - 1))::INTEGER AS low FROM ranked AS r LEFT JOIN maps ON r.hour = maps.hour)
+SELECT site, time, hour, ws, ws + (qo[low + 1] + (qo[least(low + 2, k)] - qo[low + 1]) * (place - low))
+  - (qm[low + 1] + (qm[least(low + 2, k)] - qm[low + 1]) * (place - low)) AS ws_bc FROM cut
 """, rounded=["ws", "ws_bc"])
 def quantile_map(t: Tables) -> DataFrame:
-    """Wind bias corrected by quantile delta mapping per hour of day."""
-    df = _wide(t).where("pred IS NOT NULL").select("time", F.hour("time").alias("hour"), F.col("t28m").alias("vv"),
-                                                   F.col("pred").alias("ws"))
-    out = gapfill.quantile_map(df.drop("vv"), df.where("vv IS NOT NULL"), ["hour"], "ws", "vv", "ws_bc",
-                               nodes=_NODES, bound=gapfill.HOURS)
-    return out.select("time", "hour", "ws", "ws_bc")
+    """Wind bias corrected by quantile delta mapping per hour of day, every value at its own rank."""
+    ws = F.coalesce("e5_t2m", "e5_ws", "g_p", "c_p")
+    df = sensors(t).select("site", "time", F.hour("time").alias("hour"), F.col("t28m").alias("vv"), ws.alias("ws")).where("ws IS NOT NULL")
+    out = gapfill.quantile_map(df.drop("vv"), df.where("vv IS NOT NULL"), ["hour"], "ws", "vv", "ws_bc", bound=gapfill.HOURS)
+    return out.select("site", "time", "hour", "ws", "ws_bc")
 
 
 _P = ("p AS (SELECT site, time AS date, t28m, coalesce(e5_t2m, 3.0::DOUBLE) AS t28m_pred, coalesce(t28m, e5_t2m, 3.0::DOUBLE) AS t28m_gf, "

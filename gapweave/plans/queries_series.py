@@ -43,14 +43,16 @@ def rolling_extremes(t: Tables) -> DataFrame:
 
 
 @query(f"""
-WITH {LOG}, {HOURLY}, span AS (SELECT site, min(time) AS a, max(time) AS b FROM hourly GROUP BY 1),
+WITH {LOG}, {HOURLY}, named AS (SELECT CASE WHEN site <> 'signup' THEN site END AS site, time, x FROM hourly),
+span AS (SELECT site, min(time) AS a, max(time) AS b FROM named GROUP BY 1),
 full_hours AS (SELECT site, unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS time FROM span),
-filled AS (SELECT f.site, f.time, h.x FROM full_hours f LEFT JOIN hourly h ON f.site = h.site AND f.time = h.time)
+filled AS (SELECT f.site, f.time, h.x FROM full_hours f LEFT JOIN named h ON f.site IS NOT DISTINCT FROM h.site AND f.time = h.time)
 SELECT site, time, x, {frame_sql('sum', 'x', 6)} AS x6h FROM filled
 """, rounded=["x", "x6h"])
 def rolling_by_time(t: Tables) -> DataFrame:
-    """Missing hours added first, so six rows are six hours."""
-    full = rolling.fill_hours(hourly(t), ["site"], "time")
+    """Missing hours added first, so six rows are six hours; one series has no name."""
+    named = hourly(t).withColumn("site", F.when(F.col("site") != "signup", F.col("site")))
+    full = rolling.fill_hours(named, ["site"], "time")
     return rolling.roll_series(full, ["site"], "time", {"x6h": ("x", "sum", 6)})
 
 

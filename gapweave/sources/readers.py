@@ -7,22 +7,49 @@ over the data, and a file with a different column order reads the same.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from gapweave.functions import clock, naming
 from gapweave.functions.nullrules import nan_to_null
 from gapweave.operators.clean import scale_units
+from gapweave.operators.combine import stack_rows
 from gapweave.sources import layouts
 
 
-def read_csv(spark: SparkSession, paths: str | Sequence[str], name_pattern: str | None = None) -> DataFrame:
-    """Text columns under their header names; a folder may be narrowed by file name."""
-    reader = spark.read.option("header", True).option("encoding", "UTF-8")
+def _files(spark: SparkSession, paths: Sequence[str], name_pattern: str | None) -> list[str]:
+    """Paths of the files (names only, no content)."""
+    reader = spark.read.format("binaryFile")
     if name_pattern:
         reader = reader.option("pathGlobFilter", name_pattern)
-    return reader.csv(paths if isinstance(paths, str) else list(paths))
+    return sorted(r[0] for r in reader.load(list(paths)).select("path").collect())
+
+
+def read_csv(spark: SparkSession, paths: str | Sequence[str], name_pattern: str | None = None) -> DataFrame:
+    """Text columns under their header names; a folder may be narrowed by file name.
+
+    Files with one header share a scan; scans of different headers are joined
+    by name, and a column that a file lacks is NULL there.  A file that does not
+    keep its header stops the job.
+    """
+    reader = spark.read.option("header", True).option("encoding", "UTF-8").option("enforceSchema", False)
+    files = _files(spark, [paths] if isinstance(paths, str) else paths, name_pattern)
+    if not files:
+        raise FileNotFoundError(f"no file at {paths}")
+    # one line of each file, several files at a time
+    with ThreadPool(min(16, len(files))) as pool:
+        headers = pool.map(inheritable_thread_target(spark)(lambda f: tuple(reader.csv(f).columns)), files)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header in zip(files, headers):
+        if header:  # an empty file has no columns
+            groups.setdefault(header, []).append(file)
+    scans = [reader.schema(StructType([StructField(c, StringType()) for c in header])).csv(found)
+             for header, found in groups.items()]
+    return stack_rows(scans, fill_missing=True)
 
 
 def cast_columns(df: DataFrame, names: Mapping[str, str], kinds: Mapping[str, str] | None = None) -> DataFrame:

@@ -246,9 +246,23 @@ def test_target_rules(spark):
     assert [r[0] for r in models.usable(df, "rh28m", "test").collect()] == [50.0, 100.0]
 
 
-def test_missing_flags(spark):
-    df = models.with_missing_flags(spark.createDataFrame([(None,), (1.0,)], "a double"), ["a"])
-    assert [r["a_missing"] for r in df.collect()] == [1.0, 0.0]
+def test_scoring_keeps_types_and_rows(spark, learnable):
+    train = models.usable(learnable, "t28m", "train")
+    model = models.fit_general(train, "t28m", ["e5_t2m", "month"])
+    gappy = learnable.withColumn("e5_t2m", F.when(F.col("hour") > 2, F.col("e5_t2m")))
+    out = models.score(model, gappy, "pred", ["e5_t2m", "month"])
+    assert out.select(*gappy.columns).schema == gappy.schema and out.count() == gappy.count()
+    assert out.where("(pred IS NULL) <> (e5_t2m IS NULL)").count() == 0
+    half = models.fit_general(models.usable(gappy, "t28m", "train"), "t28m", ["e5_t2m", "month"])
+    assert models.score(half, learnable, "pred", ["e5_t2m", "month"]).where("pred IS NULL").count() == 0
+
+
+def test_search_is_the_same_for_any_partitioning(spark, learnable):
+    train = models.usable(learnable, "t28m", "train")
+    boards = [models.search_linear(train.repartition(n), "t28m", ["e5_t2m", "g_p"], penalties=(0.0, 0.1), mixes=(0.0,)).scores
+              for n in (2, 5)]
+    assert [name for name, _ in boards[0]] == [name for name, _ in boards[1]]
+    assert [e for _, e in boards[0]] == pytest.approx([e for _, e in boards[1]], rel=1e-9)
 
 
 def test_smooth_models(spark, learnable):
@@ -280,7 +294,7 @@ def test_linear_forest_and_gamma(spark, learnable):
 def test_daily_pipeline(spark, learnable):
     days = learnable.select("site", F.trunc("date", "month").alias("date"), "t28m", "e5_t2m", "g_p")
     per_day = days.groupBy("date").agg(F.count("t28m").alias("n")).groupBy("n").count().orderBy(F.desc("count")).first()["n"]
-    out, found = daily.run(days, hours=per_day, values=["t28m", "e5_t2m", "g_p"], depths=(3,), trees=5, folds=2)
+    out, found, held = daily.run(days, hours=per_day, values=["t28m", "e5_t2m", "g_p"], depths=(3,), trees=5, folds=2)
     assert out.columns == ["site", "date", "stat", "pred_t28m", "t28m"]
     assert out.count() == 3 * days.select("date").distinct().count()
     means = {r["stat"]: r["m"] for r in out.groupBy("stat").agg(F.avg("pred_t28m").alias("m")).collect()}
@@ -337,6 +351,6 @@ def test_jobs_from_files_to_products(spark, tmp_path):
     assert set(skill) == {"t28m", "vpd28m"} and skill["t28m"].first()["n"] > 0
     back = readers.read_table(spark, str(tmp_path / "hourly" / "parquet"))
     assert back.count() == n and {"pred_t28m", "pred_vpd28m", "run_date"} <= set(back.columns)
-    board = jobs.daily_product(dat, str(tmp_path / "daily"), run_date=day, **search)
-    assert board.count() == 1
+    learned = jobs.daily_product(dat, str(tmp_path / "daily"), run_date=day, steps=(0.1,), **search)
+    assert learned["leaderboard"].count() == 1 and learned["importance"].count() > 3 and learned["skill"].count() == 1
     assert readers.read_csv(spark, str(tmp_path / "daily")).count() == 3 * dat.select("date").distinct().count()
