@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from gapweave.operators import models
-from gapweave.operators.checks import DataCheckError
 from gapweave.plans import daily, filling, frame, hourly, jobs, merged, station
 from gapweave.sources import layouts, readers, writers
 
@@ -187,8 +186,8 @@ def test_merged_product(spark):
 
 
 def test_merged_product_stops_on_frost(spark):
-    with pytest.raises(DataCheckError):
-        merged.merge(**merged_inputs(spark, temp=-1.0))
+    with pytest.raises(Exception, match="t28m_gf >= 0 does not hold"):
+        merged.merge(**merged_inputs(spark, temp=-1.0)).collect()
 
 
 def test_run_date_partitions_survive_reruns(spark, tmp_path):
