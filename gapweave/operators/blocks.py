@@ -1,10 +1,11 @@
 """Order-dependent operators on series of any length.
 
 A window over a whole series puts that series into one task.  So the longest
-series is measured first: while it fits, plain windows are used.  Beyond that a
-series is cut into blocks of time: each block is summarised, the short table of
-blocks is scanned to find what precedes every block, and that is brought back
-to the rows.  Only rows of one block ever share a task.
+series is measured first: while it fits, plain windows are used.  Beyond that
+rows are cut into blocks, ranges of the series' order with about equal row
+counts: each block is summarised, the short table of blocks (as many as the rows
+fill) is scanned to find what precedes every block, and that is brought back to
+the rows.  Only rows of one block ever share a task.
 
 A series that holds one row per hour is short by the calendar (8,784 rows a
 year) and needs no measuring; see ``rolling``.
@@ -18,13 +19,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gapweave.functions import clock
-from gapweave.operators.attach import attach, largest_group
+from gapweave.operators.attach import attach
 from gapweave.operators.rolling import frame_columns
+from gapweave.session import use_checkpoints
 
 #: Longest series or block, in rows, that one task is asked to sort.
 BLOCK_ROWS = 4_000_000
-#: Block widths to choose from, widest first, in seconds.
-BLOCK_SECONDS = (86_400, 3_600, 60, 1)
 
 
 def block_of(time: Column, seconds: int) -> Column:
@@ -32,33 +32,32 @@ def block_of(time: Column, seconds: int) -> Column:
     return stamp - F.pmod(stamp, F.lit(seconds))
 
 
-def block_width(df: DataFrame, keys: Sequence[str], time: str, rows: int | None = None) -> int:
-    """Widest block in which no series exceeds ``rows``.
+def _blocks_needed(df: DataFrame, keys: Sequence[str]) -> int:
+    """How many blocks of ``BLOCK_ROWS`` the rows fill; 0 if no series is longer than that (one pass, two numbers)."""
+    sizes = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+    longest, rows = sizes[0] or 0, sizes[1] or 0
+    return 0 if longest <= BLOCK_ROWS else -(-rows // max(1, BLOCK_ROWS))
 
-    One pass counts hours and days; minutes and seconds are counted only when
-    an hour is too full.
-    """
-    rows = BLOCK_ROWS if rows is None else rows
-    for coarse, fine in (BLOCK_SECONDS[:2], BLOCK_SECONDS[2:]):
-        counts = df.groupBy(*keys, block_of(F.col(time), fine).alias("__b")).agg(F.count(F.lit(1)).alias("n"))
-        wide = counts.groupBy(*keys, (F.col("__b") - F.pmod("__b", F.lit(coarse))).alias("__b")).agg(
-            F.sum("n").alias("coarse"), F.max("n").alias("fine"))
-        fullest = wide.agg(F.max("coarse"), F.max("fine")).first()
-        if (fullest[0] or 0) <= rows:
-            return coarse
-        if fullest[1] <= rows:
-            return fine
-    return BLOCK_SECONDS[-1]
 
+def _whole_series(df: DataFrame, keys: Sequence[str], seconds: int | None) -> tuple[bool, int]:
+    """May a task take a whole series?  Never when the caller sets a block width.  Also the blocks needed."""
+    blocks = _blocks_needed(df, keys) if seconds is None else 0
+    return seconds is None and not blocks, blocks
 
-def _whole_series(df: DataFrame, keys: Sequence[str], seconds: int | None) -> bool:
-    """May a task take a whole series?  Never when the caller sets a block width."""
-    return seconds is None and largest_group(df, keys) <= BLOCK_ROWS
 
+def _blocked(df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str], seconds: int | None, blocks: int) -> DataFrame:
+    """Rows with ``__block``, ascending in the order of the series.
 
-def _blocked(df: DataFrame, keys: Sequence[str], time: str, seconds: int | None) -> DataFrame:
-    seconds = block_width(df, keys, time) if seconds is None else seconds
-    return df.withColumn("__block", block_of(F.col(time), seconds))
+    Blocks are ranges of (series, time, ties) with about equal row counts, so a
+    burst, a full instant and rows without a time are cut as well; rows that
+    agree in all of these stay together.  The ranges are drawn from a sample, so
+    the cut rows are written once: summary and rows must see the same blocks.
+    """
+    if seconds is not None:
+        return df.withColumn("__block", block_of(F.col(time), seconds))
+    use_checkpoints(df.sparkSession)
+    dealt = df.repartitionByRange(blocks, *[F.col(k).asc_nulls_last() for k in keys], *_order(time, ties))
+    return dealt.withColumn("__block", F.spark_partition_id().cast("bigint")).checkpoint(eager=True)
 
 
 def _order(time: str, ties: Sequence[str]) -> list[Column]:
@@ -85,9 +84,10 @@ def _before(keys: Sequence[str]):
 def row_index(df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str] = (), *,
               into: str = "idx", block_seconds: int | None = None) -> DataFrame:
     """1-based position of every row in its series."""
-    if _whole_series(df, keys, block_seconds):
+    whole, blocks = _whole_series(df, keys, block_seconds)
+    if whole:
         return df.withColumn(into, F.row_number().over(Window.partitionBy(*keys).orderBy(*_order(time, ties))).cast("bigint"))
-    df = _blocked(df, keys, time, block_seconds)
+    df = _blocked(df, keys, time, ties, block_seconds, blocks)
     df = _with_history(df, keys, {"__n": F.count(F.lit(1))},
                        {"__before": F.coalesce(F.sum("__n").over(_before(keys)), F.lit(0))})
     inside = Window.partitionBy(*keys, "__block").orderBy(*_order(time, ties))
@@ -98,10 +98,11 @@ def row_index(df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str]
 def running_sum(df: DataFrame, keys: Sequence[str], time: str, value: str, ties: Sequence[str] = (), *,
                 into: str = "running", block_seconds: int | None = None) -> DataFrame:
     """Sum of ``value`` from the start of the series up to each row."""
-    if _whole_series(df, keys, block_seconds):
+    whole, blocks = _whole_series(df, keys, block_seconds)
+    if whole:
         upto = Window.partitionBy(*keys).orderBy(*_order(time, ties)).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(into, F.sum(value).over(upto))
-    df = _blocked(df, keys, time, block_seconds)
+    df = _blocked(df, keys, time, ties, block_seconds, blocks)
     df = _with_history(df, keys, {"__s": F.sum(value)}, {"__before": F.sum("__s").over(_before(keys))})
     inside = (Window.partitionBy(*keys, "__block").orderBy(*_order(time, ties))
               .rowsBetween(Window.unboundedPreceding, 0))
@@ -118,21 +119,23 @@ def previous(df: DataFrame, keys: Sequence[str], time: str, values: Sequence[str
     ``difference`` maps a value to the name of its step; the first row of a
     series has a NULL predecessor and a step of 0.
     """
-    if _whole_series(df, keys, block_seconds):
+    whole, blocks = _whole_series(df, keys, block_seconds)
+    if whole:
         inside = Window.partitionBy(*keys).orderBy(*_order(time, ties))
         df = df.withColumns({"__first": F.row_number().over(inside) == 1,
                              **{v + marks: F.lag(v).over(inside) for v in values}})
     else:
-        df = _previous_in_blocks(df, keys, time, values, ties, marks, block_seconds)
+        df = _previous_in_blocks(df, keys, time, values, ties, marks, block_seconds, blocks)
     for v, name in (difference or {}).items():
         df = df.withColumn(name, F.when(F.col("__first"), F.lit(0.0)).otherwise(F.col(v) - F.col(v + marks)))
     return df.drop("__first")
 
 
 def _previous_in_blocks(df: DataFrame, keys: Sequence[str], time: str, values: Sequence[str], ties: Sequence[str],
-                        marks: str, block_seconds: int | None) -> DataFrame:
-    df = _blocked(df, keys, time, block_seconds)
-    place = F.struct(F.col(time), *[F.col(c) for c in ties])
+                        marks: str, block_seconds: int | None, blocks: int) -> DataFrame:
+    df = _blocked(df, keys, time, ties, block_seconds, blocks)
+    # a missing time or tie comes last, as in the order of the rows
+    place = F.struct(*[c for n in (time, *ties) for c in (F.col(n).isNull(), F.col(n))])
     order = _in_order(keys)
     df = _with_history(
         df, keys, {f"__last_{v}": F.max_by(v, place) for v in values},
@@ -165,7 +168,8 @@ def chunked(df: DataFrame, keys: Sequence[str], time: str, longest: int, ties: S
 def roll(df: DataFrame, keys: Sequence[str], time: str, frames: Mapping[str, tuple[str, str, int]],
          ties: Sequence[str] = (), *, chunk_rows: int = 1_000_000, block_seconds: int | None = None) -> DataFrame:
     """Guarded trailing frames over raw rows: ``{name: (value, sum|avg|max|min, n)}``."""
-    if _whole_series(df, keys, block_seconds):
+    whole, blocks = _whole_series(df, keys, block_seconds)
+    if whole:
         return df.withColumns(frame_columns(Window.partitionBy(*keys).orderBy(*_order(time, ties)), frames))
     longest = max(n for _, _, n in frames.values())
     cut = chunked(df, keys, time, longest, ties, chunk_rows=chunk_rows, block_seconds=block_seconds)

@@ -20,8 +20,6 @@ from gapweave.operators.combine import join_groups
 
 #: Largest group, in rows, that one task is asked to sort.
 GROUP_ROWS = 2_000_000
-#: Most value blocks a larger group is cut into.
-MOST_BLOCKS = 8_192
 
 
 def _elements_below(sorted_array: Column, value: Column, longest: int) -> Column:
@@ -39,7 +37,7 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str, blocks: int | No
     largest group decides how many value blocks there are.
     """
     if blocks is None:
-        blocks = min(MOST_BLOCKS, 2 + 2 * largest_group(df, keys) // max(1, GROUP_ROWS))
+        blocks = 2 + 2 * largest_group(df, keys) // max(1, GROUP_ROWS)
     counts = (df.where(F.col(value).isNotNull()).groupBy(*keys, value)
               .agg(F.count(F.lit(1)).alias("n")))
     inner = [i / blocks for i in range(1, blocks)]

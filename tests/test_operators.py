@@ -156,12 +156,30 @@ def test_chunked_frames_equal_one_window(spark, chunk_rows):
             assert left[r["id"]][c] == (None if r[c] is None else pytest.approx(r[c]))
 
 
-def test_block_width_narrows_for_full_hours(spark):
-    df = series(spark)
-    n_hour = df.where("site = 'hot'").groupBy(F.date_trunc("hour", "time").alias("h")).count().agg(F.max("count")).first()[0]
-    assert blocks.block_width(df, ["site"], "time") == 86_400
-    assert blocks.block_width(df, ["site"], "time", rows=n_hour) == 3_600
-    assert blocks.block_width(df, ["site"], "time", rows=3) == 1
+def crowded(spark):
+    """One instant with ten blocks of rows, a burst of an hour, many rows without a time, a long thin series."""
+    rows = [("full", T0, i, float(i % 7)) for i in range(200)]
+    rows += [("burst", T0 + dt.timedelta(days=d), d, 1.0 + d) for d in range(40)]
+    rows += [("burst", T0 + dt.timedelta(days=20, seconds=s), 100 + s, 0.5 * s) for s in range(150)]
+    rows += [("none", None, i, 1.0) for i in range(100)] + [("none", T0, 500, 2.0)]
+    rows += [(None, T0 + dt.timedelta(hours=i), i, 3.0) for i in range(60)]
+    df = spark.createDataFrame(rows, "site string, time timestamp_ntz, id int, x double")
+    return df.withColumn("uid", F.concat_ws("/", "site", "id"))
+
+
+def test_full_instants_bursts_and_missing_times_are_cut(spark, monkeypatch):
+    df = crowded(spark)
+    whole = [rows_of(blocks.row_index(df, ["site"], "time", ["id"]), "uid", "idx"),
+             rows_of(blocks.previous(df, ["site"], "time", ["x"], ["id"]), "uid", "x_l1"),
+             rows_of(blocks.running_sum(df, ["site"], "time", "x", ["id"]), "uid", "running")]
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", 20)
+    cut = [rows_of(blocks.row_index(df, ["site"], "time", ["id"]), "uid", "idx"),
+           rows_of(blocks.previous(df, ["site"], "time", ["x"], ["id"]), "uid", "x_l1"),
+           rows_of(blocks.running_sum(df, ["site"], "time", "x", ["id"]), "uid", "running")]
+    assert cut == whole
+    needed = blocks._blocks_needed(df, ["site"])
+    held = blocks._blocked(df, ["site"], "time", ["id"], None, needed).groupBy("site", "__block").count()
+    assert held.agg(F.max("count")).first()[0] <= 3 * 20
 
 
 def test_guard_needs_full_frames_without_gaps(spark):
