@@ -5,10 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapweave.plans import daily, frame, hourly, station
+from gapweave.operators import gapfill, grid
+from gapweave.plans import daily, filling, frame, hourly, merged, station
 from gapweave.sources import layouts, readers, writers
 
 
@@ -47,13 +48,14 @@ def build_frame(spark: SparkSession, site: str, *, reanalysis: str, satellite: s
 def hourly_product(dat: DataFrame, out: str, targets: Sequence[str] = layouts.TARGETS, *,
                    run_date: dt.date | None = None, same_rows_as: str | None = None, **search) -> dict[str, DataFrame]:
     """Fit, predict and write the hourly product (Parquet and CSV); returns the test skill per target."""
-    dat = dat.persist()
     split = hourly.split_frame(dat).persist()
-    fitted = hourly.fit_targets(split, targets, same_rows_as, **search)
-    product = hourly.predict(dat, fitted).persist()
-    writers.write_parquet(product, f"{out}/parquet", run_date=run_date)
-    writers.write_csv(product, f"{out}/csv", run_date=run_date)
-    product.unpersist()
+    try:
+        fitted = hourly.fit_targets(split, targets, same_rows_as, **search)
+        writers.write_parquet(hourly.predict(dat, fitted), f"{out}/parquet", run_date=run_date)
+        # the CSV is written from what was just written, not computed again
+        writers.write_csv(latest(readers.read_table(dat.sparkSession, f"{out}/parquet")), f"{out}/csv", run_date=run_date)
+    finally:
+        split.unpersist()
     return {t: hourly.test_skill(split, fitted, t) for t in targets}
 
 
@@ -64,3 +66,44 @@ def daily_product(dat: DataFrame, out: str, target: str = "t28m", *, run_date: d
     product, found, skill = daily.run(dat, target, **search)
     writers.write_csv(product, out, run_date=run_date)
     return {"leaderboard": found.leaderboard(spark), "importance": found.importance(spark), "skill": skill}
+
+
+def cell_product(spark: SparkSession, grid_path: str, out: str, *, lon: float = grid.CELL_LON, lat: float = grid.CELL_LAT,
+                 variables: Sequence[str] | None = None, run_date: dt.date | None = None) -> None:
+    """Long-form grid -> series of the station's cell, a folder per variable; one pass over the cell's row groups."""
+    rows = readers.read_grid(spark, grid_path, F.col("variable").isin(list(variables)) if variables else None)
+    writers.write_parquet(grid.select_cell(rows, lon, lat), out, run_date=run_date, partition_by=["variable"])
+
+
+def rain_product(spark: SparkSession, half_hours: str, out: str, *, run_date: dt.date | None = None) -> None:
+    """Half hours of gauge (``precip``) and satellite (``g_p``) rain by site and ``date`` -> hours, gaps filled."""
+    hours = gapfill.fill_rain(readers.read_table(spark, half_hours, ["site", "date", "precip", "g_p"]), ["site"], "date", "precip", "g_p")
+    writers.write_parquet(hours, out, run_date=run_date)
+
+
+def smooth_product(spark: SparkSession, frame_path: str, target: str, terms: Mapping[str, Column], out: str, *,
+                   run_date: dt.date | None = None, **options) -> None:
+    """Model frame -> one variable observed, predicted by a smooth model, and filled."""
+    filled = filling.smooth_fill(readers.read_table(spark, frame_path), target, terms, ["site", "date"], **options)
+    writers.write_parquet(filled, out, run_date=run_date)
+
+
+def wind_product(spark: SparkSession, hours_path: str, out: str, *, run_date: dt.date | None = None) -> None:
+    """Modelled and observed wind by site, date and hour -> modelled and corrected wind."""
+    hours = readers.read_table(spark, hours_path, ["site", "date", "hour", "ws", "vv"])
+    writers.write_parquet(filling.corrected_wind(hours), out, run_date=run_date)
+
+
+def merged_product(spark: SparkSession, inputs: Mapping[str, str], out: str, *, run_date: dt.date | None = None,
+                   check: bool = True) -> None:
+    """Filled variables (``{name of merge's input: path}``, last run date of each) -> merged product, Parquet and CSV.
+
+    The join runs once: the CSV is written from the Parquet files.
+    """
+    tables = {}
+    for name, path in inputs.items():
+        df = readers.read_table(spark, path)
+        tables[name] = latest(df) if "run_date" in df.columns else df
+    writers.write_parquet(merged.merge(**tables, check=check), f"{out}/parquet", run_date=run_date)
+    written = latest(readers.read_table(spark, f"{out}/parquet"))
+    writers.write_csv(written, f"{out}/csv", run_date=run_date)

@@ -10,8 +10,7 @@ from gapweave.operators.gapfill import running_within
 from gapweave.operators.reshape import to_wide
 from gapweave.plans.catalog import Tables, query
 from gapweave.plans.standin import GAPPY, GRID, HOURLY, LOG, SHIPMENTS, frame_sql, grid, hourly, log, shipments
-from gapweave.session import staging_path
-from gapweave.sources import layouts, readers, writers
+from gapweave.sources import layouts
 
 
 # --- hourly series ----------------------------------------------------------
@@ -143,10 +142,8 @@ WITH {GRID} SELECT event_id, variable, lon - 360 AS lon, lat, time_hours, lead_h
 FROM grid WHERE abs(lon - 360 + 51.5) < 0.1 AND abs(lat + 1.75) < 0.1
 """, rounded=["value"])
 def cell_series(t: Tables) -> DataFrame:
-    """The station's cell of a staged grid table; the cell test reaches the scan."""
-    path = staging_path(t.spark, "grid")
-    writers.write_grid(grid(t), path)
-    return grids.select_cell(readers.read_grid(t.spark, path))
+    """The station's cell of the grid; the cell test is on stored columns, so on a stored grid it reaches the scan."""
+    return grids.select_cell(grid(t))
 
 
 @query(f"""

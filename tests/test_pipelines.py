@@ -190,6 +190,50 @@ def test_merged_product_stops_on_frost(spark):
         merged.merge(**merged_inputs(spark, temp=-1.0)).collect()
 
 
+def test_jobs_from_files_to_the_merged_product(spark, tmp_path):
+    day = dt.date(2024, 1, 1)
+    hours = [T0 + dt.timedelta(hours=h) for h in range(24 * 40)]
+    at = lambda *name: str(tmp_path.joinpath(*name))
+    half = [("s", t + dt.timedelta(minutes=m), None if t.hour == 3 else 0.5, 2.0) for t in hours for m in (0, 30)]
+    spark.createDataFrame(half, "site string, date timestamp_ntz, precip double, g_p double").write.parquet(at("half"))
+    jobs.rain_product(spark, at("half"), at("rain"), run_date=day)
+    rows = [("s", t, t.hour, t.month, None if i % 9 == 0 else 20.0 + t.hour, 80.0 - t.hour / 2, None if i < 12 else float(t.hour),
+             3.0 + t.hour / 10, None if i % 5 else 4.0 + t.hour / 10) for i, t in enumerate(hours)]
+    frame = spark.createDataFrame(rows, "site string, date timestamp_ntz, hour int, month int, t28m double, rh28m double, e5 double, ws double, vv double")
+    frame.write.parquet(at("frame"))
+    for target, folder in (("t28m", "temp"), ("rh28m", "hum")):
+        jobs.smooth_product(spark, at("frame"), target, {"e5": F.col("e5")}, at(folder), run_date=day)
+    jobs.wind_product(spark, at("frame"), at("wind"), run_date=day)
+    frame.select("site", "date", F.lit(100.0).alias("shortwave_obs"), F.lit(-1.0).alias("shortwave_pred")).write.parquet(at("light"))
+    frame.select("site", "date", F.lit(101325.0).alias("sp")).write.parquet(at("pressure"))
+    frame.select("site", "date", F.lit(3600.0).alias("strd")).write.parquet(at("thermal"))
+    paths = dict(rain=at("rain"), temperature=at("temp"), humidity=at("hum"), radiation=at("light"), wind=at("wind"),
+                 pressure=at("pressure"), thermal=at("thermal"))
+    jobs.merged_product(spark, paths, at("out"), run_date=day, check=False)
+    out = readers.read_table(spark, at("out", "parquet"))
+    assert out.count() == len(hours) == readers.read_csv(spark, at("out", "csv")).count()
+    # the first covariates are missing, so is the prediction of a gap there, and nothing else
+    assert out.where("t28m_gf IS NULL").count() == 2 and out.where("t28m_pred IS NULL").count() == 12
+    assert out.where("p_mm_gf IS NULL OR windspeed_bc IS NULL OR shortwave_gf <> 100").count() == 0
+
+
+def test_cell_product_job(spark, tmp_path):
+    rows = [(v, lon, -1.75, 8760 * 80 + h, float(h)) for v in ("t", "u") for lon in (308.5, 309.5) for h in range(5)]
+    grid = spark.createDataFrame(rows, "variable string, lon double, lat double, time_hours long, value double")
+    writers.write_grid(grid, str(tmp_path / "grid"))
+    jobs.cell_product(spark, str(tmp_path / "grid"), str(tmp_path / "cell"), variables=["t"], run_date=dt.date(2024, 1, 1))
+    out = readers.read_table(spark, str(tmp_path / "cell")).collect()
+    assert len(out) == 5 and {r["variable"] for r in out} == {"t"} and {r["lon"] for r in out} == {-51.5}
+
+
+def test_files_with_other_column_orders_and_columns(spark, tmp_path):
+    put(tmp_path / "in", "a.csv", ["x", "y"], [[1, 2], [3, 4]])
+    put(tmp_path / "in", "b.csv", ["y", "x"], [[20, 10]])
+    put(tmp_path / "in", "c.csv", ["z", "x"], [[9, 100]])
+    got = {(r["x"], r["y"], r["z"]) for r in readers.read_csv(spark, str(tmp_path / "in")).collect()}
+    assert got == {("1", "2", None), ("3", "4", None), ("10", "20", None), ("100", None, "9")}
+
+
 def test_run_date_partitions_survive_reruns(spark, tmp_path):
     path = str(tmp_path / "out")
     for day, n in ((1, 5), (2, 7), (1, 3)):
