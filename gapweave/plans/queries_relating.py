@@ -18,37 +18,40 @@ def _one(df: DataFrame, site: str, name: str) -> DataFrame:
 
 
 _ONE = "{n} AS (SELECT time, x AS {n} FROM hourly WHERE site = '{s}')"
-_FOUR = ", ".join(_ONE.format(n=n, s=s) for n, s in
-                  {"t28m": "purchase", "e5_t2m": "view", "e5_ws": "click", "g_p": "signup"}.items())
+_FIVE = ", ".join(_ONE.format(n=n, s=s) for n, s in
+                  {"t28m": "purchase", "e5_t2m": "view", "e5_ws": "click", "g_p": "signup", "c_p": "error"}.items())
 
 
 @query(f"""
-WITH {LOG}, {HOURLY}, {_FOUR} SELECT e5_t2m.time, e5_t2m, e5_ws, g_p, t28m, hour(e5_t2m.time)::INTEGER AS hour
-FROM e5_t2m JOIN e5_ws ON e5_t2m.time = e5_ws.time JOIN g_p ON e5_t2m.time = g_p.time LEFT JOIN t28m ON e5_t2m.time = t28m.time
-""", rounded=["e5_t2m", "e5_ws", "g_p", "t28m"])
+WITH {LOG}, {HOURLY}, {_FIVE} SELECT e5_t2m.time, e5_t2m, e5_ws, g_p, c_p, t28m, hour(e5_t2m.time)::INTEGER AS hour
+FROM e5_t2m JOIN e5_ws ON e5_t2m.time = e5_ws.time JOIN g_p ON e5_t2m.time = g_p.time JOIN c_p ON e5_t2m.time = c_p.time
+LEFT JOIN t28m ON e5_t2m.time = t28m.time
+""", rounded=["e5_t2m", "e5_ws", "g_p", "c_p", "t28m"])
 def align_covariates(t: Tables) -> DataFrame:
     """Covariates inner-joined by time, observations left-joined."""
     h = hourly(t)
     df = combine.join_on(_one(h, "view", "e5_t2m"), _one(h, "click", "e5_ws"), ["time"])
     df = combine.join_on(df, _one(h, "signup", "g_p"), ["time"])
+    df = combine.join_on(df, _one(h, "error", "c_p"), ["time"])
     df = combine.join_on(df, _one(h, "purchase", "t28m"), ["time"], "left")
     return df.withColumn("hour", F.hour("time"))
 
 
 @query(f"""
-WITH {LOG}, {HOURLY}, {_FOUR} SELECT year(t28m.time)::INTEGER AS year, month(t28m.time)::INTEGER AS month, day(t28m.time)::INTEGER AS day,
-  hour(t28m.time)::INTEGER AS hour, t28m, e5_t2m FROM t28m JOIN e5_t2m ON t28m.time = e5_t2m.time
-""", rounded=["t28m", "e5_t2m"])
+WITH {LOG}, {HOURLY}, n AS (SELECT site, date_trunc('hour', time + INTERVAL 30 MINUTE) AS time, max(x) AS top FROM log GROUP BY 1, 2)
+SELECT h.site, year(h.time)::INTEGER AS year, month(h.time)::INTEGER AS month, day(h.time)::INTEGER AS day,
+  hour(h.time)::INTEGER AS hour, x, top FROM hourly AS h JOIN n ON h.site = n.site AND h.time = n.time
+""", rounded=["x", "top"])
 def join_on_parts(t: Tables) -> DataFrame:
-    """Inner join on year, month, day and hour."""
-    h = hourly(t)
+    """Inner join on series, year, month, day and hour."""
     keys = ["year", "month", "day", "hour"]
 
     def by_parts(df: DataFrame) -> DataFrame:
         p = clock.parts(F.col("time"))
         return df.withColumns({k: p[k] for k in keys}).drop("time")
 
-    return combine.join_on(by_parts(_one(h, "purchase", "t28m")), by_parts(_one(h, "view", "e5_t2m")), keys)
+    tops = log(t).groupBy("site", clock.round_time(F.col("time"), 60).alias("time")).agg(F.max("x").alias("top"))
+    return combine.join_on(by_parts(hourly(t)), by_parts(tops), ["site", *keys])
 
 
 @query("""
@@ -69,13 +72,14 @@ def natural_left_join(t: Tables) -> DataFrame:
 
 
 @query(f"""
-WITH {LOG}, {HOURLY} SELECT a.time, a.x AS x_temp, b.x AS x_rh FROM (SELECT * FROM hourly WHERE site = 'view') a
-JOIN (SELECT * FROM hourly WHERE site = 'click') b ON a.time = b.time
+WITH {LOG}, {HOURLY} SELECT h.site, h.time, h.x AS x_temp, m.x AS x_rh FROM hourly AS h
+JOIN (SELECT time, avg(x) AS x FROM hourly GROUP BY 1) AS m ON h.time = m.time
 """, rounded=["x_temp", "x_rh"])
 def suffix_join(t: Tables) -> DataFrame:
-    """Clashing names get a suffix per side."""
+    """Every series beside the mean of all; the clashing value gets a suffix on either side."""
     h = hourly(t)
-    return combine.suffix_join(_one(h, "view", "x"), _one(h, "click", "x"), ["time"], ("_temp", "_rh"))
+    means = h.groupBy("time").agg(F.avg("x").alias("x"))
+    return combine.suffix_join(h, means, ["time"], ("_temp", "_rh")).select("site", "time", "x_temp", "x_rh")
 
 
 @query(f"""
