@@ -29,10 +29,24 @@ def _elements_below(sorted_array: Column, value: Column, longest: int) -> Column
         F.get(sorted_array, seen + step - 1) < value, seen + step).otherwise(seen))
 
 
+def _holds_wanted(before: Column, size: Column, total: Column, wanted: Sequence[float]) -> Column:
+    """Does a block of ranks ``before`` .. ``before + size - 1`` hold an end of a wanted quantile?"""
+    def inside(place: Column) -> Column:
+        return (place >= before) & (place < before + size)
+
+    out = F.lit(False)
+    for p in wanted:
+        low = F.floor(F.lit(float(p)) * (total - 1))
+        out = out | inside(low) | inside(low + 1)
+    return out
+
+
 def value_ranks(df: DataFrame, keys: Sequence[str], value: str, blocks: int | None = None,
-                bound: int | None = None) -> DataFrame:
+                bound: int | None = None, wanted: Sequence[float] | None = None) -> DataFrame:
     """Distinct values per group: ``n`` copies, ``below`` / ``upto`` ranks, ``total`` size.
 
+    With ``wanted`` probabilities only the blocks that hold one of their order
+    statistics are ranked; the rows of the others drop out before any sort.
     ``bound`` is a proven limit of the number of groups.  Without ``blocks`` the
     largest group decides how many value blocks there are.
     """
@@ -52,9 +66,14 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str, blocks: int | No
     placed = placed.withColumn("__block", _elements_below(F.col("__cuts"), F.col(value), blocks)).drop("__cuts")
 
     in_order = Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = placed.groupBy(*keys, "__block").agg(F.sum("n").alias("__in"), F.count(F.lit(1)).alias("__weight"))
-    sizes = sizes.select(*keys, "__block", "__weight", F.coalesce(F.sum("__in").over(in_order), F.lit(0)).alias("__before"))
-    placed = attach(placed, sizes, [*keys, "__block"], bound=bound * blocks, weight="__weight")
+    sizes = placed.groupBy(*keys, "__block").agg(
+        F.sum("n").alias("__in"), F.count(F.lit(1)).alias("__weight"), F.max("total").alias("__total"))
+    sizes = sizes.withColumn("__before", F.coalesce(F.sum("__in").over(in_order), F.lit(0)))
+    if wanted is not None:
+        sizes = sizes.where(_holds_wanted(F.col("__before"), F.col("__in"), F.col("__total"), wanted))
+    sizes = sizes.drop("__in", "__total")
+    placed = attach(placed, sizes, [*keys, "__block"], bound=bound * blocks, weight="__weight",
+                    how="left" if wanted is None else "inner")
     inside = Window.partitionBy(*keys, "__block").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     upto = F.col("__before") + F.sum("n").over(inside)
     return (placed.withColumn("upto", upto).withColumn("below", F.col("upto") - F.col("n"))
@@ -90,7 +109,7 @@ def quantiles(df: DataFrame, keys: Sequence[str], values: Mapping[str, str], pro
 
 def _quantiles_by_rank(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], into: str,
                        bound: int | None) -> DataFrame:
-    ranks = value_ranks(df, keys, value, bound=bound)
+    ranks = value_ranks(df, keys, value, bound=bound, wanted=probabilities)
     nodes = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probabilities)])
 
     def holds(position: Column) -> Column:

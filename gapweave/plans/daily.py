@@ -51,5 +51,7 @@ def run(frame: DataFrame, target: str = "t28m", *, hours: int = 24, values: Sequ
     found = models.search_boosted(train, target, inputs, **{**CANDIDATES, **search})
     held = models.usable(split.where("part = 'test'"), target, "test")
     skill = evaluate.skill(models.score(found.best, held, "pred", inputs), target, "pred")
+    skill = frame.sparkSession.createDataFrame(skill.collect(), skill.schema)  # one row; the split can go
+    split.unpersist()
     out = models.score(found.best, with_stat_code(daily(frame, values)), f"pred_{target}", inputs)
     return out.select("site", "date", "stat", f"pred_{target}", target), found, skill

@@ -276,6 +276,12 @@ def test_quantiles_match_linear_interpolation(spark, rounded, group_rows, monkey
         assert got[site if isinstance(site, str) else None] == pytest.approx(list(want))
 
 
+def test_only_blocks_with_a_wanted_rank_are_ranked(spark):
+    df = spark.range(1_000).select(F.lit("a").alias("site"), (F.col("id") * 7 % 1_000).cast("double").alias("x"))
+    some = {r["x"]: r["below"] for r in quantiles.value_ranks(df, ["site"], "x", blocks=50, wanted=[0.5]).collect()}
+    assert len(some) <= 60 and {499.0, 500.0} <= set(some) and all(x == below for x, below in some.items())
+
+
 @pytest.mark.parametrize("group_rows", [0, 1_000_000])
 def test_quantiles_of_one_value(spark, group_rows, monkeypatch):
     monkeypatch.setattr(quantiles, "GROUP_ROWS", group_rows)
