@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import shutil
 import tempfile
 import uuid
 
@@ -31,7 +33,9 @@ def local_session(cpus: int | str = "*", partitions: int = 8) -> SparkSession:
 
 @functools.cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="gapweave-")
+    folder = tempfile.mkdtemp(prefix="gapweave-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # staged copies go with the process
+    return folder
 
 
 def shared_folder(spark: SparkSession) -> str:
