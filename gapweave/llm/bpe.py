@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from gapweave.llm.shared import reachable, slices
 
-MEMO_PIECES = 250_000
+MEMO_PIECES = 700_000
 #: Longer pre-tokens hardly come back; they are not kept.
 MEMO_LETTERS = 64
 
@@ -104,25 +104,32 @@ class BytePairs:
             j = after[i]
             after[i] = end = after[j]
             waiting[j] = waiting[i] = -1
-            beside = []
             if end < n:
                 before[end] = i
-                beside.append((i, piece[i : after[end]]))
+                new = rank_of(piece[i : after[end]])
+                if new is not None:
+                    waiting[i] = new
+                    bucket = buckets.get(new)
+                    if bucket is None:
+                        buckets[new] = [i]
+                        top |= bits[new >> 8]
+                        leaf[new >> 8] |= bits[new & 255]
+                    else:
+                        heappush(bucket, i)
             left = before[i]
             if left >= 0:
-                beside.append((left, piece[left:end]))
-                waiting[left] = -1
-            for at, pair in beside:
-                new = rank_of(pair)
-                if new is not None:
-                    waiting[at] = new
+                new = rank_of(piece[left:end])
+                if new is None:
+                    waiting[left] = -1
+                else:
+                    waiting[left] = new
                     bucket = buckets.get(new)
                     if bucket is None:
-                        buckets[new] = [at]
+                        buckets[new] = [left]
                         top |= bits[new >> 8]
                         leaf[new >> 8] |= bits[new & 255]
                     else:
-                        heappush(bucket, at)
+                        heappush(bucket, left)
         out, i = [], 0
         while i < n:
             j = after[i]
