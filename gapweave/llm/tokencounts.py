@@ -30,26 +30,15 @@ GLUE = "\n"
 RULES = ("first", "last", "most")
 
 
-def sections(text: str) -> list[int]:
-    """Ends (exclusive) of the lines of a text, each with its line feed; an empty text is one empty line."""
-    ends, at = [], text.find("\n")
-    while at >= 0:
-        ends.append(at + 1)
-        at = text.find("\n", at + 1)
-    if not ends or ends[-1] < len(text):
-        ends.append(len(text))
-    return ends
-
-
-def token_spans(rendered: str, ids: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First character and end (exclusive) of every token."""
+def spans(rendered: bytes, ids: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First character and end (exclusive) of every token, and how many characters begin up to each byte."""
+    octets = np.frombuffer(rendered, np.uint8)
+    begun = np.cumsum((octets & 0xC0) != 0x80)
     stops = np.cumsum(lengths[np.frombuffer(ids, "<u4")])
     if not len(stops):
-        return stops, stops
-    octets = np.frombuffer(rendered.encode("utf-8", "surrogatepass"), np.uint8)
-    begun = np.cumsum((octets & 0xC0) != 0x80)  # characters begun up to each byte
+        return stops, stops, begun
     starts = np.concatenate([[0], stops[:-1]])
-    return begun[starts] - 1, begun[stops - 1]
+    return begun[starts] - 1, begun[stops - 1], begun
 
 
 def attribute(starts: np.ndarray, stops: np.ndarray, ends: np.ndarray, rule: str = "first") -> np.ndarray:
@@ -66,20 +55,27 @@ def attribute(starts: np.ndarray, stops: np.ndarray, ends: np.ndarray, rule: str
     return np.bincount(chosen, minlength=len(ends))
 
 
-def count_document(fields: list[str | None], pairs: BytePairs, rule: str = "first") -> list[tuple[int, int, int, int, int]]:
-    """(field, section, start, end, tokens) of every section; the last field is divided into lines."""
-    rows, ends, parts, at = [], [], [], 0
-    for k, value in enumerate(fields):
-        part = (value or "") + (GLUE if k < len(fields) - 1 else "")
-        for section, end in enumerate(sections(part) if k == len(fields) - 1 else [len(part)]):
-            rows.append((k, section, ends[-1] if ends else 0, at + end))
-            ends.append(at + end)
-        parts.append(part)
-        at += len(part)
-    rendered = "".join(parts)
-    ids = pairs.encode(rendered)
-    counts = attribute(*token_spans(rendered, ids, pairs.lengths), np.array(ends), rule)
-    return [(*row, int(n)) for row, n in zip(rows, counts)]
+def count_document(fields: list[str | None], pairs: BytePairs, rule: str = "first") -> np.ndarray:
+    """Rows of (field, section, start, end, tokens) for every section; the last field is divided into lines."""
+    parts = [(value or "") + (GLUE if k < len(fields) - 1 else "") for k, value in enumerate(fields)]
+    text = "".join(parts)
+    rendered = text.encode("utf-8", "surrogatepass")
+    starts, stops, begun = spans(rendered, pairs.encode(text), pairs.lengths)
+    before = np.cumsum([len(p) for p in parts[:-1]], dtype=np.int64)
+    head = int(before[-1]) if len(before) else 0
+    # ends of lines, each with its line feed; an empty text is one empty line
+    lines = begun[np.frombuffer(rendered, np.uint8) == 10]
+    lines = lines[lines > head]
+    if not len(lines) or lines[-1] < len(text):
+        lines = np.append(lines, len(text))
+    ends = np.concatenate([before, lines])
+    rows = np.empty((len(ends), 5), np.int64)
+    rows[:, 0] = np.minimum(np.arange(len(ends)), len(before))
+    rows[:, 1] = np.maximum(np.arange(len(ends)) - len(before), 0)
+    rows[:, 2] = np.concatenate([[0], ends[:-1]])
+    rows[:, 3] = ends
+    rows[:, 4] = attribute(starts, stops, ends, rule)
+    return rows
 
 
 def token_counts(df: DataFrame, path: str, pattern: str, key: str = "doc_id", fields: tuple[str, ...] = ("source", "lang"),
@@ -95,15 +91,11 @@ def token_counts(df: DataFrame, path: str, pattern: str, key: str = "doc_id", fi
         pairs = BytePairs.shared(path, pattern)
         for batch in batches:
             for part in slices(batch, f"f{len(taken) - 1}", 4 << 20):
-                where, rows = [], []
-                for n, values in enumerate(zip(*[c.to_pylist() for c in part.columns[1:]])):
-                    found = count_document(list(values), pairs, rule)
-                    where += [n] * len(found)
-                    rows += found
-                keys = part.column("key").take(pa.array(where, pa.int64()))
-                columns = list(zip(*rows)) if rows else [[]] * 5
-                names = pa.array([taken[k] for k in columns[0]], pa.string())
-                numbers = [pa.array(c, pa.int64()) for c in columns[1:]]
+                found = [count_document(list(v), pairs, rule) for v in zip(*[c.to_pylist() for c in part.columns[1:]])]
+                keys = part.column("key").take(pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found])))
+                rows = np.concatenate(found)
+                names = pa.DictionaryArray.from_arrays(pa.array(rows[:, 0], pa.int32()), pa.array(taken)).cast(pa.string())
+                numbers = [pa.array(np.ascontiguousarray(rows[:, k])) for k in range(1, 5)]
                 yield pa.RecordBatch.from_arrays([keys, names, *numbers], ["key", "field", "section", "start", "stop", "n_tokens"])
 
     return reachable(slim).mapInArrow(run, f"key {kind}, field string, section long, start long, stop long, n_tokens long").withColumnRenamed("key", key)
