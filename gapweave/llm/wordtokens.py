@@ -16,7 +16,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 
-MEMO_WORDS = 200_000
+MEMO_WORDS = 160_000
 TOGETHER = 64
 #: Marks that normalisation neither makes nor changes.
 MARKS = "|~^¦§¬"
