@@ -8,10 +8,11 @@ Every node gets its characters per tag, adjusted for links: with characters
 
 (zero counts divide as one).  The node whose children's densities have the
 largest sum holds the text.  The smallest density on its path to the body is
-the threshold: beside that path, nodes at or above it and headings belong to
-the text too.  If the node lies in an ``article`` or ``main`` element, that
+the threshold: beside that path, nodes and runs of bare text at or above it
+and headings belong to the text too.  If the node lies in an ``article`` or ``main`` element, that
 element is taken.  Menus, footers, sidebars, notices, adverts, forms and
-comments, by element, role or class, count for nothing anywhere.
+comments, by element, role or class, count for nothing anywhere.  A class or
+id alone does not make junk of a wrapper: see ``_lift_wrappers``.
 
 Null and empty pages, and pages without text, give the empty string.  Pages
 that repeat are extracted each.  Only the page is read, other columns may have
@@ -60,6 +61,9 @@ JUNK_NAMES = frozenset(
     "pagination pager widget toolbar hidden".split()
 )
 
+#: Readers' comments often hold more text than the story.
+TALK = frozenset("comment comments respond disqus".split())
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S
 )
@@ -68,10 +72,11 @@ _NAME_PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "junk", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "junk", "named", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, tag: str, parent: Node | None, junk: bool):
         self.tag, self.parent, self.junk = tag, parent, junk
+        self.named: frozenset[str] = frozenset()  # words of class and id that alone make it junk
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -88,6 +93,10 @@ def _is_junk(tag: str, attributes: str, inside: Node) -> bool:
             return True
     if not attributes or tag in ("body", "html", "article", "main"):
         return False
+    return _hidden(attributes)
+
+
+def _hidden(attributes: str) -> bool:
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
@@ -96,11 +105,20 @@ def _is_junk(tag: str, attributes: str, inside: Node) -> bool:
             return True
         if name == "role" and JUNK_ROLES.intersection(value.split()):
             return True
-        if name in ("class", "id") and JUNK_NAMES.intersection(_NAME_PARTS.split(value)):
-            return True
     return False
 
 
+def _junk_names(tag: str, attributes: str) -> frozenset[str]:
+    """The words of class and id that name junk."""
+    found: frozenset[str] = frozenset()
+    if not attributes or tag in ("body", "html", "article", "main"):
+        return found
+    for m in _ATTRIBUTE.finditer(attributes):
+        if m[1].lower() in ("class", "id"):
+            found |= JUNK_NAMES.intersection(_NAME_PARTS.split((m[2] or m[3] or m[4] or "").lower()))
+    return found
+
+
 def parse(html: str) -> Node:
     """The element tree; text stands as it is in the page, references not yet decoded."""
     root = Node("html", None, False)
@@ -138,6 +156,9 @@ def parse(html: str) -> Node:
                     while at.tag in closes and at.parent is not None:
                         at = at.parent
         new = Node(tag, at, _is_junk(tag, attributes, at))
+        if not new.junk:
+            new.named = _junk_names(tag, attributes)
+            new.junk = bool(new.named)
         at.children.append(new)
         if tag in RAW and not attributes.endswith("/"):
             if lower is None:
@@ -152,6 +173,78 @@ def parse(html: str) -> Node:
     return root
 
 
+def _lift_wrappers(root: Node) -> None:
+    """Elements that are junk by name alone are not junk if they wrap the article.
+
+    They do if they hold a ``main`` element; an ``article`` element, unless they
+    stand in one; or, unless they are named after comments, more than half of
+    the page's text outside links.  The last two hold only while no ``article``
+    or ``main`` with text stands elsewhere in the open.  Outer elements are
+    decided first, those inside them if they are lifted.
+    """
+    order: list[Node] = []
+    waiting = [root]
+    while waiting:
+        node = waiting.pop()
+        order.append(node)
+        waiting.extend(c for c in node.children if isinstance(c, Node) and (c.named or not c.junk))
+    if not any(n.named for n in order):
+        return
+    plain: dict[int, int] = {}
+    holds: dict[int, set[str]] = {}
+    for node in reversed(order):
+        text, held = 0, set()
+        for c in node.children:
+            if isinstance(c, str):
+                text += len(c.strip())
+            elif c.named or not c.junk:
+                text += plain[id(c)] if c.tag != "a" else 0
+                held |= holds[id(c)]
+        if node.tag in ("article", "main") and text:
+            held = held | {node.tag}
+        plain[id(node)], holds[id(node)] = text, held
+    shown = 0  # article and main elements with text in the open
+    level = [(root, 0, False)]  # with the number of such elements around, and whether one is an article
+    while level:
+        wrappers: list[tuple[Node, int, bool]] = []
+        while level:
+            node, around, inside = level.pop()
+            if node.tag in ("article", "main") and plain[id(node)]:
+                shown, around, inside = shown + 1, around + 1, inside or node.tag == "article"
+            for c in node.children:
+                if isinstance(c, Node) and c.named:
+                    wrappers.append((c, around, inside))
+                elif isinstance(c, Node) and not c.junk:
+                    level.append((c, around, inside))
+        for node, around, inside in wrappers:
+            held, alone = holds[id(node)], shown == around
+            most = 2 * plain[id(node)] > plain[id(root)] and not node.named & TALK
+            if "main" in held or (alone and (most or ("article" in held and not inside))):
+                node.junk, node.named = False, frozenset()
+                level.append((node, around, inside))
+
+
+def _weigh(node: Node, body_share: float) -> None:
+    """Density from the counts of the node."""
+    c, t = node.chars, max(node.tags, 1)
+    if c:
+        plain = max(c - node.link_chars, 1)
+        gain = math.log(max(c * t / (max(node.link_chars, 1) * max(node.link_tags, 1)), 1.0))
+        node.density = c / t * gain / math.log(math.log(node.link_chars * c / plain + c * body_share + math.e**math.e))
+
+
+def _count(node: Node) -> None:
+    """Counts of a node from those of its children; junk counts for nothing."""
+    for c in node.children:
+        if isinstance(c, str):
+            node.chars += len(c.strip())
+        elif not c.junk:
+            node.chars += c.chars
+            node.tags += c.tags + 1
+            node.link_chars += c.chars if c.tag == "a" else c.link_chars
+            node.link_tags += c.link_tags + (c.tag == "a")
+
+
 def _measure(root: Node) -> None:
     """Counts of every node, children first; junk counts for nothing."""
     order, waiting = [], [root]
@@ -160,25 +253,40 @@ def _measure(root: Node) -> None:
         order.append(node)
         waiting.extend(c for c in node.children if isinstance(c, Node) and not c.junk)
     for node in reversed(order):
-        for c in node.children:
-            if isinstance(c, str):
-                node.chars += len(c.strip())
-            elif not c.junk:
-                node.chars += c.chars
-                node.tags += c.tags + 1
-                node.link_chars += c.chars if c.tag == "a" else c.link_chars
-                node.link_tags += c.link_tags + (c.tag == "a")
+        _count(node)
     body_share = root.link_chars / root.chars if root.chars else 0.0
     for node in order:
-        c, t = node.chars, max(node.tags, 1)
-        if c:
-            plain = max(c - node.link_chars, 1)
-            gain = math.log(max(c * t / (max(node.link_chars, 1) * max(node.link_tags, 1)), 1.0))
-            node.density = c / t * gain / math.log(math.log(node.link_chars * c / plain + c * body_share + math.e**math.e))
+        _weigh(node, body_share)
     for node in order:
         node.total = sum(c.density for c in node.children if isinstance(c, Node) and not c.junk)
 
 
+def _pieces(children: list[Node | str], above: Node, body_share: float) -> list[Node]:
+    """The nodes among the children; bare text makes one node with the inline elements and line breaks around it."""
+    out: list[Node] = []
+    run: list[Node | str] = []
+
+    def end() -> None:
+        if any(isinstance(c, str) and c.strip() for c in run):
+            whole = Node("span", above, False)
+            whole.children = list(run)
+            _count(whole)
+            _weigh(whole, body_share)
+            out.append(whole)
+        else:
+            out.extend(c for c in run if isinstance(c, Node))
+        run.clear()
+
+    for c in children:
+        if isinstance(c, str) or c.tag == "br" or c.tag not in BLOCKS:
+            run.append(c)
+        else:
+            end()
+            out.append(c)
+    end()
+    return out
+
+
 def _chosen(root: Node) -> list[Node]:
     """The nodes whose text is the article, in page order."""
     best, waiting = root, [root]
@@ -195,12 +303,15 @@ def _chosen(root: Node) -> list[Node]:
         return [whole[0]]
     inner = [n for n in path if n.tag != "html"] or path
     threshold = min(n.density for n in inner)
+    body_share = root.link_chars / root.chars if root.chars else 0.0
     out = [best]
     for node, above in zip(path, path[1:]):
         at = next(k for k, c in enumerate(above.children) if c is node)
-        beside = [isinstance(c, Node) and not c.junk and c.chars > 0 and (c.density >= threshold or c.tag in HEADINGS) for c in above.children]
-        out = [c for c, b in zip(above.children[:at], beside) if b] + out + [
-            c for c, b in zip(above.children[at + 1 :], beside[at + 1 :]) if b]
+        before, after = (
+            [c for c in _pieces(part, above, body_share)
+             if not c.junk and c.chars > 0 and (c.density >= threshold or c.tag in HEADINGS)]
+            for part in (above.children[:at], above.children[at + 1 :]))
+        out = before + out + after
     return out
 
 
@@ -230,6 +341,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     root = parse(html)
+    _lift_wrappers(root)
     _measure(root)
     return " ".join(b for node in _chosen(root) for b in _blocks(node) if b)
 

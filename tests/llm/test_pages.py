@@ -70,3 +70,33 @@ def test_odd_pages(spark):
                                  "page_id long, url string, html string, text string")
     assert sorted(map(str, (r["text"] for r in extract(rows).collect()))) == ["", "a", "a"]
     assert extract(rows.limit(0)).count() == 0
+
+
+WRAPPERS = ['class="content-sidebar-wrap"', 'class="with-sidebar"', 'class="no-sidebar"', 'id="page" class="nav-open"', 'class="has-banner"']
+
+
+def test_wrappers_named_like_junk_do_not_hide_the_article():
+    for middle in (f"<article>{STORY}</article>", f"<main><div>{STORY}</div></main>", f'<div class="post">{STORY}</div>'):
+        for wrapper in WRAPPERS:
+            for inner in (middle, f'<div class="no-sidebar">{middle}</div>'):
+                assert main_text(page(AROUND[:1], f"<div {wrapper}>{inner}</div>", AROUND[-1:])) == TOLD, wrapper
+                assert main_text(page([], f"<main><div {wrapper}>{inner}{AROUND[5]}</div></main>", [])) == TOLD, wrapper
+
+
+def test_articles_in_junk_beside_the_article_stay_out():
+    other = "<article><p>" + "Another story is told here at great length. " * 20 + "</p></article>"
+    for name in ("related", "comments", "sidebar"):
+        junk = f'<div class="{name}">{other}</div>'
+        for whole in (f"<article>{STORY}</article>{junk}", f"<main><article>{STORY}</article>{junk}</main>"):
+            assert main_text(page([], whole, [])) == TOLD, name
+            assert main_text(page([], f'<div class="with-sidebar">{whole}</div>', [])) == TOLD, name
+    talk = '<section class="comments"><p>' + "I read this and say so. " * 30 + "</p></section>"
+    assert main_text(page([], f"<article>{STORY}{talk}</article>", [])) == TOLD
+
+
+def test_bare_text_beside_the_chosen_node_is_taken():
+    lead = "The lead stands bare in the body and tells in many words, and in <b>bold</b> ones too, what the story will be about."
+    told = re.sub("</?b>", "", lead)
+    assert main_text(page([lead], f"<div>{STORY}</div>", [])) == f"{told} {TOLD}"
+    assert main_text(page([], f"<div>{STORY}</div>", [f"{lead}<br>{lead}"])) == f"{TOLD} {told} {told}"
+    assert main_text(page(["Menu |"], f"<div>{STORY}</div>", ["(c) us"])) == TOLD
