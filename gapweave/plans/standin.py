@@ -118,10 +118,11 @@ def covariate_inputs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFr
 
 
 def model_days(t: Tables) -> DataFrame:
-    """Multi-year model frame: one row per site and day, covariates and three targets."""
+    """Multi-year model frame: one row per site and day, covariates and all targets."""
     df = shipments(t).groupBy("site", F.col("time").alias("time_utc")).agg(
         F.avg("x").alias("t28m"), F.avg(F.when(F.col("d") > 0.02, 100 * F.col("d"))).alias("rh28m"),
         F.max(F.when(F.col("p") > 0.01, F.col("x") / 100)).alias("vv"),
+        F.avg(F.col("x") / 100).alias("vpd28m"), F.max("x").alias("rad_global"), F.avg(100 * F.col("p")).alias("precip"),
         F.avg("y").alias("e5_t2m"), F.max("y").alias("e5_ws"), F.avg("d").alias("g_p"),
         F.sum("y").alias("c_p24h"))
     time = F.col("time_utc")
