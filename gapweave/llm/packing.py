@@ -26,9 +26,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from gapweave.llm.shared import reachable, slices
-from gapweave.llm.wordtokens import WordTokens
+from gapweave.llm.wordtokens import MEMO_WORDS, WordTokens
 
 LENGTH = 2048
 POOL_TOKENS = 1 << 21
@@ -125,17 +126,18 @@ SCHEMA = "key {key}, start long, length long, ids binary, doc_tokens long, seque
 
 
 def pack_texts(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", length: int = LENGTH,
-               cost: Cost = Cost(), end: int = END, with_ids: bool = True) -> DataFrame:
+               cost: Cost = Cost(), end: int = END, with_ids: bool = True, memo_words: int = MEMO_WORDS) -> DataFrame:
     """One row per piece: ``key, start, length, ids, doc_tokens, sequence_id, offset`` and ``ids_crc32``.
 
     A task packs the rows it reads, so nothing is shuffled; ``sequence_id`` is
     the task's number and a count, the same when the task runs again.
-    ``with_ids=False`` leaves the ids out (NULL).
+    ``with_ids=False`` leaves the ids out (NULL).  ``memo_words`` bounds the words
+    whose ids a worker remembers (about 250 bytes each, in two generations).
     """
     slim = df.select(F.col(key).alias("key"), F.col(text).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokens.shared(tokenizer)
+        words = WordTokens.shared(tokenizer, memo_words)
         tail = np.array([end], "<u4").tobytes()
 
         def documents() -> Iterator[tuple[int | None, bytes]]:
@@ -166,5 +168,5 @@ def pack_texts(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "
     key_type = slim.schema["key"].dataType
     schema = SCHEMA.format(key=key_type.simpleString()) + ", ids_crc32 long"
     names = ["key", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "ids_crc32"]
-    kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[key_type.simpleString()]
+    kind = to_arrow_type(key_type)
     return reachable(slim).mapInArrow(run, schema).withColumnRenamed("key", key)

@@ -11,8 +11,8 @@ largest sum holds the text.  The smallest density on its path to the body is
 the threshold: beside that path, nodes and runs of bare text at or above it
 and headings belong to the text too.  If the node lies in an ``article`` or ``main`` element, that
 element is taken.  Menus, footers, sidebars, notices, adverts, forms and
-comments, by element, role or class, count for nothing anywhere.  A class or
-id alone does not make junk of a wrapper: see ``_lift_wrappers``.
+comments, by element, role or class, count for nothing anywhere; of a header
+inside an article only the headings count.  A class or id alone does not make junk of a wrapper: see ``_lift_wrappers``.
 
 Null and empty pages, and pages without text, give the empty string.  Pages
 that repeat are extracted each.  Only the page is read, other columns may have
@@ -85,7 +85,7 @@ class Node:
 def _is_junk(tag: str, attributes: str, inside: Node) -> bool:
     if tag in JUNK:
         return True
-    if tag == "header":  # a page's header; an article may have one of its own
+    if tag == "header":  # a page's header; of an article's own one the headings stay
         node: Node | None = inside
         while node is not None and node.tag not in ("article", "main"):
             node = node.parent
@@ -123,6 +123,7 @@ def parse(html: str) -> Node:
     """The element tree; text stands as it is in the page, references not yet decoded."""
     root = Node("html", None, False)
     at = root
+    headers: list[Node] = []
     place, lower = 0, None
     while (m := _TAG.search(html, place)) is not None:
         if m.start() > place:
@@ -156,6 +157,8 @@ def parse(html: str) -> Node:
                     while at.tag in closes and at.parent is not None:
                         at = at.parent
         new = Node(tag, at, _is_junk(tag, attributes, at))
+        if tag == "header" and not new.junk:
+            headers.append(new)
         if not new.junk:
             new.named = _junk_names(tag, attributes)
             new.junk = bool(new.named)
@@ -170,9 +173,26 @@ def parse(html: str) -> Node:
             at = new
     if place < len(html):
         at.children.append(html[place:])
+    for header in headers:
+        header.children = _headings(header)
     return root
 
 
+def _headings(header: Node) -> list[Node | str]:
+    """The headings below an article's header; the rest of it is no text of the article."""
+    out: list[Node | str] = []
+    waiting: list[Node | str] = list(reversed(header.children))
+    while waiting:
+        item = waiting.pop()
+        if isinstance(item, Node) and not item.junk:
+            if item.tag in HEADINGS:
+                item.parent = header
+                out.append(item)
+            else:
+                waiting.extend(reversed(item.children))
+    return out
+
+
 def _lift_wrappers(root: Node) -> None:
     """Elements that are junk by name alone are not junk if they wrap the article.
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
-from gapweave.session import use_checkpoints
+from gapweave.session import staging_path, use_checkpoints
 
 #: Java and Python pattern of the white space between words: space, tab, line feed, VT, FF, CR.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -67,6 +67,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Scratch:
+    """Tables written to a folder of their own below the shared folder, as compressed Parquet, and deleted together."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.path, self._count = spark, staging_path(spark, label), 0
+
+    def keep(self, df: DataFrame, by: str | None = None) -> DataFrame:
+        """The frame, written and read again; ``by`` names a column whose values become folders that filters skip."""
+        self._count += 1
+        path = f"{self.path}/{self._count}"
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
+
+    def drop(self) -> None:
+        """Delete the tables; frames that read them are of no use afterwards."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of a batch in runs whose ``column`` holds about ``most_bytes``, so that Python copies stay small."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()

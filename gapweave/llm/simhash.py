@@ -170,12 +170,15 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", tau: int =
              shingle: int = 3, most: int = PAIRED) -> DataFrame:
     """One row of each component, with the columns of the input: the smallest id; of equal rows any one."""
     fp, win = fresh("fp", df), fresh("winner", df)
-    rows = with_fingerprints(df, text, fp, shingle)
-    prints = cut(rows.select(F.col(key).alias("id"), F.col(fp).alias("fp")))
+    slim = with_fingerprints(df.select(F.col(key).alias("id"), F.col(text).alias("t")), "t", "fp", shingle)
+    prints = cut(slim.select("id", "fp"))
     roots = fingerprint_components(prints, tau, segments, most)
     least = prints.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp")).alias("w"))
-    winners = least.join(roots, "fp").groupBy("root").agg(F.min("w").alias("w")).select(
-        F.col("w.id").alias(win), F.col("w.fp").alias(fp)
-    )
-    kept = rows.join(winners, fp).filter(F.col(key).eqNullSafe(F.col(win))).drop(win)
+    winners = cut(least.join(roots, "fp").groupBy("root").agg(F.min("w").alias("w")).select("w.id", "w.fp"))
+    # whole rows move by their id, so copies of one text do not meet; only named rows are fingerprinted again
+    named = winners.select(F.col("id").alias(win)).distinct()
+    some = df.join(named, F.col(key).eqNullSafe(F.col(win)), "left_semi")
+    rows = with_fingerprints(some, text, fp, shingle)
+    chosen = winners.select(F.col("id").alias(win), F.col("fp").alias(fp))
+    kept = rows.join(chosen, [fp]).filter(F.col(key).eqNullSafe(F.col(win))).drop(win)
     return kept.dropDuplicates([fp]).select(*[F.col(f"`{c}`") for c in df.columns])

@@ -88,3 +88,58 @@ joined AS (
 )
 SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM joined
 """
+
+LEAKS_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+items AS (
+  SELECT item_id::VARCHAR AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+),
+windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(list_slice(w, i, i + 9), ' ') AS g
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0) AS x
+),
+lengths AS (SELECT DISTINCT n FROM windows),
+passages AS (
+  SELECT r, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, lengths WHERE len(w) >= n) AS x
+),
+hits AS (SELECT r, i, n, item FROM passages JOIN windows USING (n, g)),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) AS x GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS l FROM (SELECT DISTINCT r, item FROM hits) AS x GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
+
+NEGATIVES_SQL = r"""
+WITH rows_ AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+),
+scored AS (
+  SELECT a.id AS anchor_id, b.id AS id, a.label = b.label AS same,
+         list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i]))::BIGINT AS score
+  FROM rows_ AS a, rows_ AS b WHERE a.id % 50 = 0 AND a.id <> b.id
+),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))::INTEGER AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""

@@ -50,24 +50,25 @@ def core_and_rest(word: str) -> tuple[str, str]:
 class WordTokens:
     """``encode`` gives ids as little-endian unsigned 32-bit bytes, as the whole text would."""
 
-    _loaded: dict[str, WordTokens] = {}
+    _loaded: dict[tuple[str, int], WordTokens] = {}
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo_words: int = MEMO_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks share the cores already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.memo_words = memo_words
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     @classmethod
-    def shared(cls, path: str) -> WordTokens:
+    def shared(cls, path: str, memo_words: int = MEMO_WORDS) -> WordTokens:
         """One instance for each Python worker."""
-        if path not in cls._loaded:
-            cls._loaded[path] = cls(path)
-        return cls._loaded[path]
+        if (path, memo_words) not in cls._loaded:
+            cls._loaded[path, memo_words] = cls(path, memo_words)
+        return cls._loaded[path, memo_words]
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -78,7 +79,7 @@ class WordTokens:
         parts = {x for pair in pairs for x in pair}
         parts.difference_update(self.parts)
         learned = self._encode_words(list(parts))
-        if len(self.parts) + len(learned) > MEMO_WORDS:
+        if len(self.parts) + len(learned) > self.memo_words:
             self.parts = {x: self.parts[x] for pair in pairs for x in pair if x in self.parts}
         self.parts.update(learned)
         ids = self.parts
@@ -109,7 +110,7 @@ class WordTokens:
         older = self.older
         back = unknown.intersection(older)
         unknown.difference_update(back)
-        if len(self.memo) + len(back) + len(unknown) > MEMO_WORDS:
+        if len(self.memo) + len(back) + len(unknown) > self.memo_words:
             # words of this call stay; the others are kept for one more turn
             self.older, self.memo = self.memo, {w: self.memo[w] for w in words.intersection(self.memo)}
         self.memo.update((w, older[w]) for w in back)

@@ -100,3 +100,8 @@ def test_bare_text_beside_the_chosen_node_is_taken():
     assert main_text(page([lead], f"<div>{STORY}</div>", [])) == f"{told} {TOLD}"
     assert main_text(page([], f"<div>{STORY}</div>", [f"{lead}<br>{lead}"])) == f"{TOLD} {told} {told}"
     assert main_text(page(["Menu |"], f"<div>{STORY}</div>", ["(c) us"])) == TOLD
+
+
+def test_an_articles_header_keeps_its_headings():
+    header = '<header class="entry"><div><h1>The title</h1></div><p>Posted in a section of the site</p><h2>And below</h2></header>'
+    assert main_text(page([], f"<article>{header}{STORY}</article>", [])) == f"The title And below {TOLD}"
