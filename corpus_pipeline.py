@@ -5,9 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gapweave.llm import nearcopies, packing, quality, toxicity
+from gapweave.llm import packing, quality, simhash, toxicity
 from gapweave.llm.shared import table
 
+#: Words of a shingle, and the bits in which linked fingerprints may differ.
+SHINGLE, MOST_BITS = 3, 2
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs)
@@ -18,7 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return nearcopies.keep_one(docs)
+    return simhash.keep_one(docs, shingle=SHINGLE, tau=MOST_BITS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
