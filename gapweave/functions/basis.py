@@ -8,31 +8,42 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _reach(t: Column) -> tuple[Column, Column]:
+    s = F.abs(t)
+    return F.greatest(2 - s, F.lit(0.0)), F.greatest(1 - s, F.lit(0.0))
+
+
 def bump(t: Column) -> Column:
     """Cubic B-spline with unit knots around zero; sums to one over the whole numbers."""
-    s = F.abs(t)
-    return (F.when(s < 1, F.lit(2.0 / 3) - s * s + s * s * s / 2).when(s < 2, (2 - s) * (2 - s) * (2 - s) / 6)
-            .when(s.isNotNull(), F.lit(0.0)))
+    p, q = _reach(t)
+    return (p * p * p - 4 * (q * q * q)) / 6 + t * 0.0  # the last part keeps a missing input missing
 
 
 def bump_slope(t: Column) -> Column:
-    s = F.abs(t)
-    steep = F.when(s < 1, -2 * s + 1.5 * s * s).when(s < 2, -(2 - s) * (2 - s) / 2).when(s.isNotNull(), F.lit(0.0))
-    return F.when(t < 0, -steep).otherwise(steep)
+    p, q = _reach(t)
+    return F.signum(t) * (2 * (q * q) - p * p / 2)
 
 
-def spline(x: Column, low: float, high: float, k: int) -> Column:
-    """``k`` cubic B-splines on ``k - 3`` equal steps from ``low`` to ``high``; beyond them straight on."""
+def on_steps(x: Column, low: float, high: float, k: int) -> tuple[Column, Column]:
+    """Place on the ``k - 3`` steps from ``low`` to ``high``, and how far the value lies beyond them."""
     u = (x - low) / ((high - low) / (k - 3) or 1.0)
     inside = F.when(u < 0, F.lit(0.0)).when(u > k - 3, F.lit(float(k - 3))).otherwise(u)
-    return F.array(*[bump(inside - (j - 1)) + (u - inside) * bump_slope(inside - (j - 1)) for j in range(k)])
+    return inside, u - inside
+
+
+def spline(inside: Column, beyond: Column, k: int) -> Column:
+    """``k`` cubic B-splines at a place ``on_steps``; beyond the steps straight on."""
+    return F.array(*[bump(inside - (j - 1)) + beyond * bump_slope(inside - (j - 1)) for j in range(k)])
+
+
+def on_ring(x: Column, low: float, period: float, k: int) -> Column:
+    return F.pmod((x - low) / period * k, F.lit(float(k)))
 
 
-def cyclic(x: Column, low: float, period: float, k: int) -> Column:
-    """``k`` cubic B-splines on a ring: value, slope and bend are equal at both ends of the period."""
-    u = (x - low) / period * k
+def ring(u: Column, k: int) -> Column:
+    """``k`` cubic B-splines at a place ``on_ring``: value, slope and bend are equal at both ends of the period."""
     half = k / 2
-    return F.array(*[bump(F.pmod(u - j + half, F.lit(float(k))) - half) for j in range(k)])
+    return F.array(*[bump(F.pmod(u - (j - half), F.lit(float(k))) - half) for j in range(k)])
 
 
 def radial(xs: Sequence[Column], knots: Sequence[Sequence[float]]) -> Column:

@@ -48,8 +48,11 @@ class Line:
     size = 1
     centred = False
 
-    def column(self) -> Column:
-        return F.array(F.col(self.x).cast("double"))
+    def places(self) -> list[Column]:
+        return [F.col(self.x).cast("double")]
+
+    def column(self, x: Column) -> Column:
+        return F.array(x)
 
     def penalties(self) -> list[np.ndarray]:
         return []
@@ -76,8 +79,11 @@ class Spline:
     def name(self) -> str:
         return f"s({self.x})"
 
-    def column(self) -> Column:
-        return basis.spline(F.col(self.x).cast("double"), self.low, self.high, self.size)
+    def places(self) -> list[Column]:
+        return list(basis.on_steps(F.col(self.x).cast("double"), self.low, self.high, self.size))
+
+    def column(self, inside: Column, beyond: Column) -> Column:
+        return basis.spline(inside, beyond, self.size)
 
     def penalties(self) -> list[np.ndarray]:
         return [_bending(self.size, self.size - 3, lambda j: [j - 1])]
@@ -104,8 +110,11 @@ class Cyclic:
     def name(self) -> str:
         return f"cc({self.x})"
 
-    def column(self) -> Column:
-        return basis.cyclic(F.col(self.x).cast("double"), self.low, self.period, self.size)
+    def places(self) -> list[Column]:
+        return [basis.on_ring(F.col(self.x).cast("double"), self.low, self.period, self.size)]
+
+    def column(self, u: Column) -> Column:
+        return basis.ring(u, self.size)
 
     def penalties(self) -> list[np.ndarray]:
         return [_bending(self.size, self.size, lambda j: [j - self.size, j, j + self.size])]
@@ -137,8 +146,11 @@ class Surface:
     def size(self) -> int:
         return len(self.knots) + 2
 
-    def column(self) -> Column:
-        return basis.radial([(F.col(c).cast("double") - m) / self.scale for c, m in zip(self.inputs, self.centre)], self.knots)
+    def places(self) -> list[Column]:
+        return [(F.col(c).cast("double") - m) / self.scale for c, m in zip(self.inputs, self.centre)]
+
+    def column(self, x: Column, y: Column) -> Column:
+        return basis.radial([x, y], self.knots)
 
     def penalties(self) -> list[np.ndarray]:
         k = np.array(self.knots)
@@ -260,21 +272,23 @@ def prepare(terms: Iterable[Term], df: DataFrame) -> list[Term]:
 
 
 def with_basis(df: DataFrame, terms: Sequence[Term]) -> DataFrame:
-    """The frame with an array column ``__b<i>`` for each prepared term."""
-    margins, crossed = {}, []
+    """The frame with an array column ``__b<i>`` for each prepared term.
+
+    Places, bases and products are columns of their own, one upon the other, so
+    that each is computed once and the generated code stays small.
+    """
+    plain = {(i, j): m for i, t in enumerate(terms) for j, m in enumerate(t.margins if isinstance(t, Product) else (t,))}
+    names = {(i, j): f"__b{i}_{j}" if isinstance(terms[i], Product) else f"__b{i}" for i, j in plain}
+    places = {(i, j): {f"__u{i}_{j}_{n}": c for n, c in enumerate(m.places())} for (i, j), m in plain.items()}
+    df = df.withColumns({name: c for found in places.values() for name, c in found.items()})
+    df = df.withColumns({names[at]: m.column(*map(F.col, places[at])) for at, m in plain.items()})
     for i, t in enumerate(terms):
         if isinstance(t, Product):
-            margins |= {f"__b{i}_{j}": m.column() for j, m in enumerate(t.margins)}
-            crossed.append((i, t))
-        else:
-            margins[f"__b{i}"] = t.column()
-    df = df.withColumns(margins)
-    for i, t in crossed:
-        held, size = f"__b{i}_0", t.margins[0].size
-        for j, m in enumerate(t.margins[1:], 1):
-            name = f"__b{i}" if j == len(t.margins) - 1 else f"__b{i}_p{j}"
-            df = df.withColumn(name, basis.products(held, size, f"__b{i}_{j}", m.size))
-            held, size = name, size * m.size
+            held, size = names[i, 0], t.margins[0].size
+            for j, m in enumerate(t.margins[1:], 1):
+                name = f"__b{i}" if j == len(t.margins) - 1 else f"__b{i}_p{j}"
+                df = df.withColumn(name, basis.products(held, size, names[i, j], m.size))
+                held, size = name, size * m.size
     return df
 
 
@@ -299,24 +313,28 @@ class Gram:
         return out
 
 
-def cross_products(df: DataFrame, arrays: Sequence[str], *values: Column, weight: Column | None = None) -> np.ndarray:
-    """Sums of the products of 1, all entries of the arrays, and the values, over rows that lack none of them."""
+def cross_products(df: DataFrame, arrays: Mapping[str, int], *values: Column, weight: Column | None = None) -> np.ndarray:
+    """Sums of the products of 1, all entries of the arrays (with their sizes), and the values, over rows that lack none of them."""
     row = F.concat(F.array(F.lit(1.0)), *arrays, F.array(*[v.cast("double") for v in values]))
     if weight is not None:
         row = F.transform(row, lambda x: x * F.sqrt(weight))
     whole = df.select(row.alias("row")).where(~F.exists("row", lambda x: x.isNull() | F.isnan(x)))
     vectors = MLUtils.convertVectorColumnsFromML(whole.select(array_to_vector("row").alias("row")), "row")
-    matrix = RowMatrix(vectors)
-    if matrix.rows.isEmpty():
+    found = RowMatrix(vectors, numCols=1 + sum(arrays.values()) + len(values)).computeGramianMatrix().toArray()
+    if not found[0, 0]:
         raise ValueError("no row has the target and all covariates")
-    return matrix.computeGramianMatrix().toArray()
+    return found
+
+
+def _arrays(terms: Sequence[Term]) -> dict[str, int]:
+    return {f"__b{i}": t.size for i, t in enumerate(terms)}
 
 
 def gram(df: DataFrame, terms: Sequence[Term], target: str, weight: str | None = None) -> Gram:
     """One pass for all terms; see ``prepare``."""
     held = with_basis(df, terms)
-    whole = cross_products(held, [f"__b{i}" for i in range(len(terms))], F.col(target), weight=None if weight is None else F.col(weight))
-    return Gram(tuple(terms), whole[0, 0], whole[:-1, :-1], whole[:-1, -1], whole[-1, -1])
+    whole = cross_products(held, _arrays(terms), F.col(target), weight=None if weight is None else F.col(weight))
+    return Gram(tuple(terms), float(whole[0, 0]), whole[:-1, :-1], whole[:-1, -1], float(whole[-1, -1]))
 
 
 def binned_gram(df: DataFrame, terms: Sequence[Term], target: str, bins: Mapping[str, int]) -> Gram:
@@ -499,6 +517,7 @@ def fit(g: Gram, names: Sequence[str] | None = None, *, smoothing: float | Seque
             raise ValueError(f"{len(s.penalties)} smoothing parameters wanted")
     beta, rss, edf = _solve(s, found, g.yy)
     raw = s.turn @ beta
+    rss, edf = float(rss), float(edf)
     return Fit(tuple(t for t, _ in chosen), float(raw[0]), tuple(raw[at] for _, at in chosen), found, g.n, rss, edf)
 
 
@@ -510,7 +529,7 @@ def fit_gamma(df: DataFrame, terms: Sequence[Term], target: str, *, smoothing: f
     the deviance of the round before; it ends when the deviance stands still.
     Only positive targets take part.
     """
-    arrays = [f"__b{i}" for i in range(len(terms))]
+    arrays = _arrays(terms)
     y = F.col(target).cast("double")
     held = with_basis(df.where(y > 0), terms).select(*arrays, y.alias("__y")).persist()
     try:

@@ -66,6 +66,7 @@ def load() -> dict[str, Query]:
         queries_models,
         queries_relating,
         queries_series,
+        queries_smooth,
         queries_summaries,
     )
 

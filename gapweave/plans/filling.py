@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 
-from gapweave.operators import gapfill, models, sampling
+from gapweave.operators import gapfill, models, sampling, smooth
 
 #: Share of the observed rows a smooth model is trained on; as many again test it.
 TRAIN_SHARE = 0.3
@@ -36,6 +36,14 @@ def smooth_fill(df: DataFrame, target: str, terms: Mapping[str, Column], keys: S
         *keys, target, f"{target}_pred", f"{target}_gf", "gapfill")
 
 
+def additive_fill(df: DataFrame, target: str, terms: Sequence[smooth.Term], keys: Sequence[str], *, drop: bool = False) -> DataFrame:
+    """As ``smooth_fill``, from an additive model of all observed rows whose smoothing the data choose."""
+    observed = models.usable(df, target, "train")
+    fitted = smooth.fit(smooth.gram(observed, smooth.prepare(terms, observed), target), drop=drop)
+    filled = gapfill.fill(fitted.predict(df, f"{target}_pred"), target, f"{target}_pred", f"{target}_gf")
+    return filled.select(*keys, target, f"{target}_pred", f"{target}_gf", "gapfill")
+
+
 def corrected_wind(hours: DataFrame, keys: Sequence[str] = ("site", "date")) -> DataFrame:
     """Modelled wind ``ws`` and its version mapped to the observed wind ``vv``, per site and hour of day."""
     full = hours.where("ws IS NOT NULL")
