@@ -17,6 +17,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 import numpy as np
+from py4j.protocol import Py4JError
 from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
@@ -27,6 +28,7 @@ from gapweave.functions import basis
 
 #: Smoothing parameters that are tried, as powers of ten of the data's own scale.
 POWERS = np.arange(-6.0, 8.5, 0.5)
+NOTHING = "no row has the target and all covariates"
 
 
 # --- terms ------------------------------------------------------------------
@@ -320,9 +322,15 @@ def cross_products(df: DataFrame, arrays: Mapping[str, int], *values: Column, we
         row = F.transform(row, lambda x: x * F.sqrt(weight))
     whole = df.select(row.alias("row")).where(~F.exists("row", lambda x: x.isNull() | F.isnan(x)))
     vectors = MLUtils.convertVectorColumnsFromML(whole.select(array_to_vector("row").alias("row")), "row")
-    found = RowMatrix(vectors, numCols=1 + sum(arrays.values()) + len(values)).computeGramianMatrix().toArray()
+    matrix = RowMatrix(vectors, numCols=1 + sum(arrays.values()) + len(values))
+    try:
+        found = matrix.computeGramianMatrix().toArray()
+    except Py4JError:
+        if whole.isEmpty():  # a table without partitions
+            raise ValueError(NOTHING) from None
+        raise
     if not found[0, 0]:
-        raise ValueError("no row has the target and all covariates")
+        raise ValueError(NOTHING)
     return found
 
 
@@ -351,7 +359,7 @@ def binned_gram(df: DataFrame, terms: Sequence[Term], target: str, bins: Mapping
     for i, c in enumerate(sorted(bins)):
         low, high = row[2 * i], row[2 * i + 1]
         if low is None:
-            raise ValueError("no row has the target and all covariates")
+            raise ValueError(NOTHING)
         step = (high - low) / bins[c] or 1.0
         middles[c] = low + (F.least(F.floor((F.col(c) - low) / step), F.lit(bins[c] - 1)) + 0.5) * step
     cells = whole.withColumns(middles).groupBy(*inputs).agg(
