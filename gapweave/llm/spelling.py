@@ -4,10 +4,13 @@ The trie of all words is a distributed edge table (node, character, child).
 A state (word, position, node, edits) says that the word up to the position
 spells the node's prefix with so many edits.  Level by level the states of a
 depth are joined with the edges of that depth: a state without an edit leaves
-out a character of the word, takes one that the word lacks, or takes another
-one; a state with an edit only goes where its word goes.  A state that ends
-where another word ends makes the two neighbours.
+out a character of the word, or takes a greater one instead; a state with an
+edit only goes where its word goes.  A state that ends where another word ends
+makes the two neighbours.
 
+* Neighbours are mutual: a character that one word lacks is one that the other
+  leaves out, and of two characters one is greater.  So each pair is found from
+  one of its words and then turned around.
 * An edit is in the later half of a word, or in the later half of the word
   read backwards.  So there are two tries, one of the reversed words, and a
   state starts at the node of its word's first half, where few words are left.
@@ -62,12 +65,16 @@ def word_counts(df: DataFrame, key: str = "doc_id", text: str = "text", shortest
 
 
 def _paths(words: DataFrame) -> DataFrame:
-    """``dir, depth, node, ch, child, s``: the way of every word through its trie, from where a neighbour may start."""
+    """``dir, depth, node, ch, child, s``: the way of every word through the later half of its tries.
+
+    A word reaches words of its length or one letter shorter, whose halves begin no later.
+    """
     both = words.select(F.explode(F.array(
         F.struct(F.lit(0).alias("dir"), F.concat("word", F.lit(END)).alias("s")),
         F.struct(F.lit(1).alias("dir"), F.concat(F.reverse("word"), F.lit(END)).alias("s")))).alias("x")).select("x.dir", "x.s")
-    shorter = F.length("s") - 2  # letters of a neighbour that lacks one
-    first = F.greatest(F.lit(1), F.when(F.col("dir") == 0, F.floor(shorter / 2)).otherwise(F.ceil(shorter / 2))).cast("int")
+    letters = F.length("s") - 1
+    half = F.when(F.col("dir") == 0, F.floor(letters / 2)).otherwise(F.ceil(letters / 2))
+    first = F.greatest(F.lit(1), half).cast("int")
 
     def step(d: Column) -> Column:
         return F.struct(d.alias("depth"), F.xxhash64("dir", F.substr("s", F.lit(1), d)).alias("node"),
@@ -87,12 +94,8 @@ def _moves(states: DataFrame, edges: DataFrame) -> DataFrame:
     edges = edges.withColumn("salt", F.explode(F.sequence(F.lit(0), _salts("crowd") - 1))).drop("crowd")
     met = states.join(edges, ["dir", "node", "salt"])
     own, ch, pos = F.substr("s", F.col("pos") + 1, F.lit(1)), F.col("ch"), F.col("pos")
-    fresh = F.col("edits") == 0
-    moves = F.array_compact(F.array(
-        F.when(~fresh & (ch == own), pos + 1),
-        F.when(fresh & (ch != END) & (own != END) & (ch != own), pos + 1),
-        F.when(fresh & (ch != END), pos)))
-    moved = met.withColumn("pos", F.explode(moves))
+    goes = F.when(F.col("edits") == 1, ch == own).otherwise((own != END) & (ch > own))
+    moved = met.filter(goes).withColumn("pos", pos + 1)
     alone = F.col("below") == 1
     rest = F.substr("s", F.col("pos") + 1) == F.substr("target", F.col("depth") + 2)
     follows = F.instr(F.col("nexts"), F.substr("s", F.col("pos") + 1, F.lit(1))) > 0
@@ -114,13 +117,11 @@ def _trie_pairs(words: DataFrame, scratch: Scratch) -> DataFrame:
         F.max("crowd").alias("crowd"), F.count(F.lit(1)).alias("below"), F.min("s").alias("target"))
     edges = scratch.keep(edges.join(below, ["dir", "depth", "child"], "left"), by="depth")
     depths = shared.agg(F.min("depth"), F.max("depth")).first()
-    letters = F.length("s") - 1
-    half = F.when(F.col("dir") == 0, F.floor(letters / 2)).otherwise(F.ceil(letters / 2))
     found, live = [], None
     for depth in range(depths[0], depths[1] + 1) if depths[0] is not None else ():
-        here = shared.filter((F.col("depth") == depth) & (F.col("depth") >= half))
+        here = shared.filter(F.col("depth") == depth)
         start = here.select("dir", "s", "node", F.lit(depth).alias("pos"), "crowd", F.lit(0).alias("edits"))
-        skipped = start.filter(letters > depth).withColumns({"pos": F.lit(depth + 1), "edits": F.lit(1)})
+        skipped = start.filter(F.length("s") - 1 > depth).withColumns({"pos": F.lit(depth + 1), "edits": F.lit(1)})
         states = start.unionByName(skipped)
         if live is not None:
             states = states.unionByName(live)
@@ -137,7 +138,8 @@ def _trie_pairs(words: DataFrame, scratch: Scratch) -> DataFrame:
         word = F.substr(s, F.lit(1), F.length(s) - 1)
         return F.when(F.col("dir") == 0, word).otherwise(F.reverse(word))
 
-    return pairs.select(plain("s").alias("word"), plain("target").alias("near"))
+    found = pairs.select(plain("s").alias("word"), plain("target").alias("near"))
+    return found.unionByName(found.select(F.col("near").alias("word"), F.col("word").alias("near")))
 
 
 PRIME, BASE = (1 << 61) - 1, 1_000_003
