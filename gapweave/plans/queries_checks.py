@@ -104,8 +104,8 @@ def boosted_board(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT 4::BIGINT AS n, string_agg('elasticNetParam=' || m || ', regParam=' || r, '; ' ORDER BY m, r) AS names, 4::BIGINT AS last, TRUE AS ordered
-FROM (VALUES ('0.0'), ('1.0')) AS x(m), (VALUES ('0.0'), ('0.1')) AS y(r)
+SELECT 9::BIGINT AS n, string_agg('elasticNetParam=' || m || ', regParam=' || r, '; ' ORDER BY m, r) AS names, 9::BIGINT AS last, TRUE AS ordered
+FROM (VALUES ('0.0'), ('0.5'), ('1.0')) AS x(m), (VALUES ('0.0'), ('0.01'), ('0.1')) AS y(r)
 """)
 def linear_board(t: Tables) -> DataFrame:
     return _board(fitted.linear_search(t), "params", "rmse")

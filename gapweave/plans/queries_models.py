@@ -106,8 +106,7 @@ def forest_importance(t: Tables) -> DataFrame:
 def linear_search(t: Tables) -> DataFrame:
     """Elastic-net candidates, best first; the grid is the one that ``linear_board`` holds against SQL."""
     data = model_days(t)
-    found = models.search_linear(models.usable(data, "t28m", "train"), "t28m", naming.covariates(data.columns),
-                                 penalties=(0.0, 0.1), mixes=(0.0, 1.0))
+    found = models.search_linear(models.usable(data, "t28m", "train"), "t28m", naming.covariates(data.columns))
     return found.leaderboard(t.spark)
 
 
