@@ -14,12 +14,13 @@ the word at log P(w).  Words that training has not seen lead to the root.
 
 The model grows with the corpus and is never held whole.  Texts are dealt into
 blocks.  A block asks for the counts of its own distinct words and bigrams:
-words sorted, bigrams as sorted 64-bit hashes, one request per shard of the
-hash range.  A shard adds the training counts of all blocks and answers each
-with counts in the order asked.  The block then builds the automaton of its
-own n-grams and reads each text from left to right.  Words are counted as
-themselves, so the base score is exact; two bigrams with one hash would share
-a count.
+words sorted, bigrams as sorted 64-bit hashes, one request for each shard of
+the hash range that holds any of them, so there are never more requests than
+n-grams of the texts.  A shard adds the training counts of all blocks and
+answers each with counts in the order asked.  The block then builds the
+automaton of its own n-grams and walks each text from left to right, carrying
+a state.  Words are counted as themselves, so the base score is exact; two
+bigrams with one hash would share a count.
 
 Null and empty texts are one end.  Rows with a null key are held out.  Rows
 that repeat are read each.  Blocks and shards grow in number with the bytes of
@@ -28,6 +29,7 @@ the texts; a very frequent word is one entry per block.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,11 +39,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gapweave.llm.shared import byte_words, reachable
+from gapweave.llm.shared import byte_words, reachable, words
 
 ADD = 0.1
 STRENGTH, POWER = 4.0, 0.8
 BLOCK_BYTES = 8 << 20
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 END = b"\n"  # no word holds a line feed
 _START = np.uint64(0x243F6A8885A308D3)
 _MIX, _TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(31)
@@ -93,38 +96,37 @@ class Block:
         before = np.empty_like(self.tokens)
         before[1:] = self.tokens[:-1]
         before[self.starts] = len(self.words)  # the start
-        self.before = before
-        pairs, self.arc = np.unique(before * (len(self.words) + 1) + self.tokens, return_inverse=True)
+        pairs, arc = np.unique(before * (len(self.words) + 1) + self.tokens, return_inverse=True)
         context = np.append(self.hashes, _START)
         head, tail = pairs // (len(self.words) + 1), pairs % (len(self.words) + 1)
         key = (context[head] * _MIX ^ (context[head] >> _TURN)) + context[tail]
         key = (key ^ (key >> _TURN)) * _MIX
         keys, slot = np.unique(key ^ (key >> _TURN), return_inverse=True)
-        self.keys, self.arc = keys, slot[self.arc]
+        self.keys, self.pairs, self.slot, arc = keys, pairs, slot, slot[arc]
         self.word_counts = np.bincount(self.tokens[self.trained], minlength=len(self.words)).astype("<u4")
-        self.arc_counts = np.bincount(self.arc[self.trained], minlength=len(keys)).astype("<u4")
-        self.trained_texts = int(np.sum(train))
+        self.arc_counts = np.bincount(arc[self.trained], minlength=len(keys)).astype("<u4")
         width = max(1, -(-(1 << 64) // shards))
         edges = np.array([min(k * width, (1 << 64) - 1) for k in range(1, shards)], np.uint64)
         self.word_cuts = [0, *np.searchsorted(self.hashes, edges).tolist(), len(self.words)]
         self.arc_cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
 
     def requests(self) -> Iterator[tuple]:
-        """(shard, words, their counts, bigram hashes, their counts), one for every shard."""
+        """(shard, words, their counts, bigram hashes, their counts), one for every shard asked for anything."""
         for s, (a, b, c, d) in enumerate(zip(self.word_cuts, self.word_cuts[1:], self.arc_cuts, self.arc_cuts[1:])):
-            yield (s, b" ".join(self.words[a:b]), planes(self.word_counts[a:b]), _steps(self.keys[c:d]), planes(self.arc_counts[c:d]))
+            if a < b or c < d:
+                yield (s, b" ".join(self.words[a:b]), planes(self.word_counts[a:b]), _steps(self.keys[c:d]), planes(self.arc_counts[c:d]))
 
 
-REQUEST = "shard int, block long, words binary, word_counts binary, keys binary, key_counts binary, texts long"
-ANSWER = "block long, shard int, word_counts binary, key_counts binary, tokens long, types long, texts long"
+REQUEST = "shard int, block long, words binary, word_counts binary, keys binary, key_counts binary"
+ANSWER = "block long, shard int, word_counts binary, key_counts binary"
 
 
 def _requests(shards: int):
     def run(key: tuple, group: pa.Table) -> pa.Table:
         block = Block(group.column("t").to_pylist(), group.column("train").to_pylist(), shards)
-        rows = [(s, key[0].as_py(), *rest, block.trained_texts if s == 0 else 0) for s, *rest in block.requests()]
-        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4, pa.int64()]
-        names = ["shard", "block", "words", "word_counts", "keys", "key_counts", "texts"]
+        rows = [(s, key[0].as_py(), *rest) for s, *rest in block.requests()]
+        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
+        names = ["shard", "block", "words", "word_counts", "keys", "key_counts"]
         return pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     return run
@@ -146,71 +148,97 @@ def answer(group: pa.Table) -> pa.Table:
     sums = np.bincount(slot, weights=counts, minlength=len(distinct)).astype("<u8")
     cuts = np.cumsum([len(k) for k in keys])[:-1]
     rows = []
-    tokens, types = sum(totals.values()), sum(n > 0 for n in totals.values())
-    texts = sum(group.column("texts").to_pylist())
     for block, found, at in zip(group.column("block").to_pylist(), asked, np.split(slot, cuts)):
         mine = np.array([totals[w] for w in found], "<u8")
-        rows.append((block, shard, planes(mine), planes(sums[at]), tokens, types, texts))
-    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-    names = ["block", "shard", "word_counts", "key_counts", "tokens", "types", "texts"]
+        rows.append((block, shard, planes(mine), planes(sums[at])))
+    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+    names = ["block", "shard", "word_counts", "key_counts"]
     return pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
+@dataclass(frozen=True)
+class Totals:
+    """What training holds: tokens with the ends, distinct tokens, texts."""
+
+    tokens: int
+    types: int
+    texts: int
+
+
 @dataclass(frozen=True)
 class Automaton:
-    """States are words seen in training, the start and the root; log10 weights."""
+    """States are the block's words, then the start, then the root; log10 weights.
 
+    The arcs of state ``s`` are those from ``first[s]`` to ``first[s + 1]``,
+    by the word they read; an arc leads to the state of its word.
+    """
+
+    first: list[int]
+    reads: list[int]
+    weight: list[float]
+    failure: list[float]  # weight of each state's failure arc to the root
     root: np.ndarray  # weight of each word at the root
-    failure: np.ndarray  # weight of each state's failure arc; zero for words that are no state
-    arc: np.ndarray  # weight of each arc, NaN where training has no such bigram
+    seen: np.ndarray  # words that are states; the root reads others back to itself
 
     @classmethod
-    def build(cls, block: Block, word_counts: np.ndarray, arc_counts: np.ndarray, tokens: int, types: int, texts: int) -> Automaton:
-        chance = (word_counts + ADD) / (tokens + ADD * (types + 1))
-        seen = np.append(word_counts, texts).astype(np.float64)
+    def build(cls, block: Block, word_counts: np.ndarray, arc_counts: np.ndarray, total: Totals) -> Automaton:
+        chance = (word_counts + ADD) / (total.tokens + ADD * (total.types + 1))
+        seen = np.append(word_counts, total.texts).astype(np.float64)
         spare = STRENGTH * seen**POWER
         share = np.where(seen > 0, spare / np.maximum(seen + spare, 1e-300), 1.0)
-        # any place of an arc names its state and its word
-        state, word = np.zeros(len(arc_counts), np.int64), np.zeros(len(arc_counts), np.int64)
-        state[block.arc], word[block.arc] = block.before, block.tokens
-        known = arc_counts > 0
-        weight = np.full(len(arc_counts), np.nan)
-        s, w = state[known], word[known]
-        weight[known] = np.log10((arc_counts[known] + spare[s] * chance[w]) / (seen[s] + spare[s]))
-        return cls(np.log10(chance), np.log10(share), weight)
-
-    def read(self, block: Block) -> np.ndarray:
-        """Log probability of each text.
-
-        The state that a place is read in is set by the place before it, so
-        all places of the block step at once; each text's weights then add up
-        in its own order.
-        """
-        arc = self.arc[block.arc]
-        step = np.where(np.isnan(arc), self.failure[block.before] + self.root[block.tokens], arc)
-        return np.add.reduceat(step, block.starts) if len(block.starts) else np.zeros(0)
-
-
-def _score(shards: int):
+        counts = arc_counts[block.slot]
+        kept = np.flatnonzero(counts > 0)
+        s, w = block.pairs[kept] // (len(block.words) + 1), block.pairs[kept] % (len(block.words) + 1)
+        weight = np.log10((counts[kept] + spare[s] * chance[w]) / (seen[s] + spare[s]))
+        first = np.searchsorted(s, np.arange(len(block.words) + 3))  # the root has no arcs
+        return cls(first.tolist(), w.tolist(), weight.tolist(), [*np.log10(share).tolist(), 0.0], np.log10(chance), word_counts > 0)
+
+    def walk(self, tokens: np.ndarray) -> float:
+        """Log probability of one text: from the start, an arc for each token, over the failure arc where there is none."""
+        first, reads, weight, failure = self.first, self.reads, self.weight, self.failure
+        root = len(first) - 2
+        state, score = root - 1, 0.0
+        for token, alone, known in zip(tokens.tolist(), self.root[tokens].tolist(), self.seen[tokens].tolist()):
+            end = first[state + 1]
+            arc = bisect_left(reads, token, first[state], end)
+            if arc < end and reads[arc] == token:
+                score += weight[arc]
+                state = token
+            else:
+                score += failure[state] + alone
+                state = token if known else root
+        return score
+
+
+def _score(shards: int, total: Totals):
     def run(key: tuple, texts: pa.Table, answers: pa.Table) -> pa.Table:
         train = texts.column("train").to_pylist()
         block = Block(texts.column("t").to_pylist(), train, shards)
         answers = answers.sort_by("shard")
         word_counts = np.concatenate([unplanes(x, "<u8") for x in answers.column("word_counts").to_pylist()])
         arc_counts = np.concatenate([unplanes(x, "<u8") for x in answers.column("key_counts").to_pylist()])
-        tokens, types, docs = (sum(answers.column(c).to_pylist()) for c in ("tokens", "types", "texts"))
-        model = Automaton.build(block, word_counts, arc_counts, tokens, types, docs)
-        scores = model.read(block)
+        model = Automaton.build(block, word_counts, arc_counts, total)
+        ends = block.starts + block.lengths
+        scores = [model.walk(block.tokens[a:b]) for a, b in zip(block.starts.tolist(), ends.tolist())]
         base = np.add.reduceat(model.root[block.tokens], block.starts)
-        known = np.add.reduceat((word_counts > 0)[block.tokens].astype(np.int64), block.starts)
+        known = np.add.reduceat(model.seen[block.tokens].astype(np.int64), block.starts)
         return pa.table({
             "key": texts.column("key"), "held_out": pa.array([not x for x in train]), "n_tokens": block.lengths, "n_known": known,
-            "train_tokens": np.full(len(scores), tokens), "base_score": base, "score": scores,
+            "train_tokens": np.full(len(scores), total.tokens), "base_score": base, "score": pa.array(scores, pa.float64()),
         })
 
     return run
 
 
+def training_totals(slim: DataFrame) -> Totals:
+    """Counted over all training texts, by word, so that no block has to hear from every shard."""
+    spoken = F.explode(words(F.translate("t", UPPER, LOWER)))
+    counts = slim.filter("train").select(spoken.alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    texts = slim.filter("train").count()  # each is one end more
+    return Totals(tokens + texts, types + (texts > 0), texts)
+
+
 def score_corpus(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 10, held_out: int = 0,
                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``key, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every text.
@@ -221,6 +249,7 @@ def score_corpus(df: DataFrame, key: str = "doc_id", text: str = "text", folds:
     train = F.coalesce(F.crc32(F.col(key).cast("string")) % folds != held_out, F.lit(False))
     slim = df.select(F.col(key).alias("key"), F.col(text).alias("t"), train.alias("train"))
     size = slim.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    total = training_totals(slim)
     blocks = max(1, -(-size // block_bytes))
     shards = max(1, -(-blocks // 2))
     # the key is a hash, so no source or copy gathers in one block; repeated rows spread by their text at least
@@ -229,5 +258,5 @@ def score_corpus(df: DataFrame, key: str = "doc_id", text: str = "text", folds:
     answers = asked.groupBy("shard").applyInArrow(answer, ANSWER)
     kind = slim.schema["key"].dataType.simpleString()
     schema = f"key {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    scored = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(shards), schema)
+    scored = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(shards, total), schema)
     return scored.withColumnRenamed("key", key)

@@ -68,3 +68,30 @@ def test_planes_round_trip():
 
     for values in (np.zeros(0, "<u8"), np.array([1, 2**63, 7], "<u8"), np.array([5, 0], "<u4")):
         assert lmscore.unplanes(lmscore.planes(values), values.dtype.str).tolist() == values.tolist()
+
+
+def test_requests_grow_with_the_texts_not_with_the_square_of_the_blocks():
+    texts = [" ".join(f"w{k}-{i}" for i in range(20)) for k in range(40)]
+    rows = {}
+    for shards in (20, 2_000, 200_000):
+        rows[shards] = sum(len(list(lmscore.Block([t], [True], shards).requests())) for t in texts)
+    assert rows[2_000] <= rows[200_000] <= 40 * (21 + 21)  # distinct words and bigrams
+
+
+def test_walk_follows_arcs_and_failure_arcs():
+    import numpy as np
+
+    block = lmscore.Block(["a b", "b zz a", None], [True, False, True], 1)
+    total = lmscore.Totals(tokens=4, types=3, texts=2)
+    model = lmscore.Automaton.build(block, block.word_counts.astype("<u8"), block.arc_counts.astype("<u8"), total)
+    def chance(c):
+        return (c + 0.1) / (4 + 0.1 * 4)
+
+    def back(c):
+        return lmscore.STRENGTH * c**lmscore.POWER / (c + lmscore.STRENGTH * c**lmscore.POWER)
+
+    # start fails to b, b fails to the unknown zz at the root, the root reads a, a fails to the end
+    want = math.log10(back(2) * chance(1) * back(1) * chance(0) * chance(1) * back(1) * chance(2))
+    at = block.starts[1]
+    assert math.isclose(model.walk(block.tokens[at:at + block.lengths[1]]), want)
+    assert model.walk(np.zeros(0, np.int64)) == 0
