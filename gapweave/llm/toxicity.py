@@ -6,7 +6,7 @@ among toxic and among other training texts; a logistic regression on these
 scaled features gives the score.  N-grams of fewer than ``min_texts`` training
 texts, or without a clear bond to the label (chi-squared below ``least_chi``, or
 below ``least_phi`` of the texts), carry nothing: in them the ratio is noise.
-Of training texts that copy each other one counts.
+Of training texts of one label that copy each other one counts.
 
 Fitting takes the labelled rows with the smallest key hashes, ``FIT_ROWS`` at
 most (a documented bound: the model is a fixed-size table of 2**20 weights);
@@ -93,23 +93,25 @@ def _chi_squared(with_feature: np.ndarray, toxic_with: np.ndarray, toxic: float,
     return np.where(below > 0, texts * (a * d - b * c) ** 2 / np.maximum(below, 1), 0.0)
 
 
-def _without_copies(texts: list[str | None], slots: int = 8, shared: int = 2) -> list[int]:
-    """Places of the texts that share fewer than ``shared`` min-hashes of word triples with the texts before.
+def _without_copies(texts: list[str | None], labels: list[int], slots: int = 8, shared: int = 6) -> list[int]:
+    """Places of the texts that copy no text before of their label: fewer than ``shared`` min-hashes of word triples agree with any one.
 
     Copies of one text would make its own n-grams look like signs of its label.
     """
     rng = np.random.default_rng(7)
     factors = rng.integers(1, 1 << 31, slots, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    seen: set[tuple[int, int]] = set()
+    kept = {label: np.zeros((len(texts), slots), np.uint32) for label in set(labels)}
+    held = dict.fromkeys(kept, 0)
     out = []
-    for at, text in enumerate(texts):
+    for at, (text, label) in enumerate(zip(texts, labels)):
         found = byte_words(text)
         triples = [zlib.crc32(b" ".join(x)) for x in zip(found, found[1:], found[2:])] or [zlib.crc32(b" ".join(found))]
         values = np.array(triples, np.uint64)
-        marks = [(k, int(((values * f) & np.uint64(0xFFFFFFFF)).min())) for k, f in enumerate(factors)]
-        if sum(m in seen for m in marks) < shared:
+        marks = np.array([((values * f) & np.uint64(0xFFFFFFFF)).min() for f in factors], np.uint32)
+        if not ((kept[label][: held[label]] == marks).sum(axis=1) >= shared).any():
             out.append(at)
-        seen.update(marks)
+            kept[label][held[label]] = marks
+            held[label] += 1
     return out
 
 
@@ -117,7 +119,7 @@ def fit(texts: list[str | None], labels: list[int], min_texts: int = 3, least_ph
         penalty: float = 1e-4, lift: float = 0.75, rounds: int = 300) -> Model:
     """The classifier for texts with labels 0 and 1; the same rows give the same model."""
     size = 1 << HASH_BITS
-    single = _without_copies(texts)
+    single = _without_copies(texts, labels)
     sets = [features(texts[k]).astype(np.int32) for k in single]
     y = np.array([labels[k] for k in single], np.float64)
     positives = float(y.sum())

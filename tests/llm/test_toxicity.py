@@ -47,3 +47,14 @@ def test_features_of_pieces_equal_the_whole(monkeypatch):
     monkeypatch.setattr(toxicity, "_STEP", 37)
     assert toxicity.features(text).tolist() == whole
     assert toxicity.features(text.upper().replace("ÜNÏ", "Ünï")).tolist() == whole
+
+
+def test_only_copies_of_one_text_and_label_are_left_out():
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(5000)]
+    passage = rng.choices(words, k=30)
+    apart = [" ".join(rng.choices(words, k=60) + passage) for _ in range(20)]  # a third is common to all
+    assert toxicity._without_copies(apart, [0] * 20) == list(range(20))
+    assert toxicity._without_copies([*apart, apart[3], apart[5] + " more"], [0] * 22) == list(range(20))
+    assert toxicity._without_copies([*apart, apart[3]], [0] * 20 + [1]) == list(range(21))
+    assert toxicity._without_copies([None, "", "a", "a"], [0, 0, 0, 1]) == [0, 2, 3]
