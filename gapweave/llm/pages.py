@@ -9,10 +9,18 @@ Every node gets its characters per tag, adjusted for links: with characters
 (zero counts divide as one).  The node whose children's densities have the
 largest sum holds the text.  The smallest density on its path to the body is
 the threshold: beside that path, nodes and runs of bare text at or above it
-and headings belong to the text too.  If the node lies in an ``article`` or ``main`` element, that
-element is taken.  Menus, footers, sidebars, notices, adverts, forms and
-comments, by element, role or class, count for nothing anywhere; of a header
-inside an article only the headings count.  A class or id alone does not make junk of a wrapper: see ``_lift_wrappers``.
+and headings belong to the text too.  An ``article`` or ``main`` element on
+that path belongs to the text as a whole and bounds it: outside the outermost
+of them only sibling ``article`` elements at or above the threshold are added,
+so a story in several parts stays together.
+
+Menus, footers, sidebars, notices, adverts, forms and comments, by element,
+role or class, count for nothing in the search; of a header inside an article
+only the headings count.  A class or id that is made of junk words and of
+words for layout makes junk of its element.  One that merely holds a junk word
+("social-history") makes junk of a block only below the threshold, and never
+of an inline element.  No class or id makes junk of a wrapper: see
+``_lift_wrappers``.  Labels and buttons in the middle of a sentence are text.
 
 Null and empty pages, and pages without text, give the empty string.  Pages
 that repeat are extracted each.  Only the page is read, other columns may have
@@ -49,10 +57,11 @@ ENDED_BY = {
     "tbody": frozenset({"tr", "td", "th", "tbody", "thead"}), "tfoot": frozenset({"tr", "td", "th", "tbody", "thead"}),
 }
 HOLDS = frozenset("ul ol dl table select article section div body html main aside nav footer header form td th".split())
-RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg math object canvas".split())
+RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg object canvas".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # What never belongs to an article.
-JUNK = frozenset("head nav footer aside form menu button input select label fieldset dialog audio video map".split()) | RAW
+JUNK = frozenset("head nav footer aside form menu input select fieldset dialog audio video map".split()) | RAW
+CONTROLS = frozenset("button label".split())
 JUNK_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 JUNK_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent "
@@ -61,6 +70,12 @@ JUNK_NAMES = frozenset(
     "pagination pager widget toolbar hidden".split()
 )
 
+#: Words that name a place of the layout, not what stands there.
+PLACES = frozenset(
+    "a an the container box wrapper wrap area list block section group row column col left right top bottom main site page global "
+    "primary secondary post posts item items inner outer bar link links unit slot panel content reader readers user entry".split()
+)
+
 #: Readers' comments often hold more text than the story.
 TALK = frozenset("comment comments respond disqus".split())
 
@@ -72,11 +87,12 @@ _NAME_PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "junk", "named", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "junk", "named", "weak", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, tag: str, parent: Node | None, junk: bool):
         self.tag, self.parent, self.junk = tag, parent, junk
         self.named: frozenset[str] = frozenset()  # words of class and id that alone make it junk
+        self.weak = False  # they stand in names that say something else as well
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -85,6 +101,8 @@ class Node:
 def _is_junk(tag: str, attributes: str, inside: Node) -> bool:
     if tag in JUNK:
         return True
+    if tag in CONTROLS and not (inside.tag == "p" and any(isinstance(c, str) and c.strip() for c in inside.children)):
+        return True
     if tag == "header":  # a page's header; of an article's own one the headings stay
         node: Node | None = inside
         while node is not None and node.tag not in ("article", "main"):
@@ -108,15 +126,20 @@ def _hidden(attributes: str) -> bool:
     return False
 
 
-def _junk_names(tag: str, attributes: str) -> frozenset[str]:
-    """The words of class and id that name junk."""
+def _junk_names(tag: str, attributes: str) -> tuple[frozenset[str], bool]:
+    """The words of class and id that name junk, and whether they only stand in names that say something else as well."""
     found: frozenset[str] = frozenset()
+    weak = True
     if not attributes or tag in ("body", "html", "article", "main"):
-        return found
+        return found, False
     for m in _ATTRIBUTE.finditer(attributes):
         if m[1].lower() in ("class", "id"):
-            found |= JUNK_NAMES.intersection(_NAME_PARTS.split((m[2] or m[3] or m[4] or "").lower()))
-    return found
+            for name in (m[2] or m[3] or m[4] or "").lower().split():
+                parts = {x for x in _NAME_PARTS.split(name) if x and not x.isdigit()}
+                if parts & JUNK_NAMES:
+                    found |= parts & JUNK_NAMES
+                    weak &= not parts <= JUNK_NAMES | PLACES
+    return found, weak and bool(found)
 
 
 def parse(html: str) -> Node:
@@ -160,7 +183,9 @@ def parse(html: str) -> Node:
         if tag == "header" and not new.junk:
             headers.append(new)
         if not new.junk:
-            new.named = _junk_names(tag, attributes)
+            names, new.weak = _junk_names(tag, attributes)
+            if not new.weak or tag in BLOCKS:
+                new.named = names
             new.junk = bool(new.named)
         at.children.append(new)
         if tag in RAW and not attributes.endswith("/"):
@@ -265,8 +290,8 @@ def _count(node: Node) -> None:
             node.link_tags += c.link_tags + (c.tag == "a")
 
 
-def _measure(root: Node) -> None:
-    """Counts of every node, children first; junk counts for nothing."""
+def _measure(root: Node, body_share: float | None = None) -> None:
+    """Counts of every node, children first; junk below the root counts for nothing."""
     order, waiting = [], [root]
     while waiting:
         node = waiting.pop()
@@ -274,7 +299,8 @@ def _measure(root: Node) -> None:
         waiting.extend(c for c in node.children if isinstance(c, Node) and not c.junk)
     for node in reversed(order):
         _count(node)
-    body_share = root.link_chars / root.chars if root.chars else 0.0
+    if body_share is None:
+        body_share = root.link_chars / root.chars if root.chars else 0.0
     for node in order:
         _weigh(node, body_share)
     for node in order:
@@ -307,8 +333,8 @@ def _pieces(children: list[Node | str], above: Node, body_share: float) -> list[
     return out
 
 
-def _chosen(root: Node) -> list[Node]:
-    """The nodes whose text is the article, in page order."""
+def _path(root: Node) -> list[Node]:
+    """From the node with the largest sum of its children's densities up to the root."""
     best, waiting = root, [root]
     while waiting:
         node = waiting.pop()
@@ -318,20 +344,50 @@ def _chosen(root: Node) -> list[Node]:
     path = [best]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
-    whole = [n for n in path if n.tag in ("article", "main")]
-    if whole:
-        return [whole[0]]
-    inner = [n for n in path if n.tag != "html"] or path
-    threshold = min(n.density for n in inner)
+    return path
+
+
+def _threshold(path: list[Node]) -> float:
+    return min(n.density for n in [n for n in path if n.tag != "html"] or path)
+
+
+def _open_weak(nodes: list[Node], threshold: float, body_share: float) -> None:
+    """Blocks below the nodes that a name hides, though it says something else as well, are text from the threshold on."""
+    waiting = list(nodes)
+    while waiting:
+        node = waiting.pop()
+        if node.junk:
+            if not (node.weak and node.named):
+                continue
+            _measure(node, body_share)
+            if node.density < threshold:
+                continue
+            node.junk = False
+        waiting.extend(c for c in node.children if isinstance(c, Node))
+
+
+def _chosen(root: Node) -> list[Node]:
+    """The nodes whose text is the article, in page order."""
+    path = _path(root)
+    threshold = _threshold(path)
     body_share = root.link_chars / root.chars if root.chars else 0.0
-    out = [best]
-    for node, above in zip(path, path[1:]):
+    bounds = [k for k, n in enumerate(path) if n.tag in ("article", "main")]
+    inner, outer = (bounds[0], bounds[-1]) if bounds else (0, len(path))
+    out = [path[inner]]
+
+    def belongs(c: Node, outside: bool) -> bool:
+        if c.junk or not c.chars:
+            return False
+        return c.density >= threshold if outside else c.density >= threshold or c.tag in HEADINGS
+
+    for level, (node, above) in enumerate(zip(path[inner:], path[inner + 1 :]), inner):
         at = next(k for k, c in enumerate(above.children) if c is node)
+        outside = level >= outer
         before, after = (
-            [c for c in _pieces(part, above, body_share)
-             if not c.junk and c.chars > 0 and (c.density >= threshold or c.tag in HEADINGS)]
+            [c for c in _pieces(part, above, body_share) if belongs(c, outside) and (not outside or c.tag == "article")]
             for part in (above.children[:at], above.children[at + 1 :]))
         out = before + out + after
+    _open_weak(out, threshold, body_share)
     return out
 
 

@@ -1,6 +1,9 @@
+import math
 import re
 from html import unescape
+from html.parser import HTMLParser
 
+from gapweave.llm import pages
 from gapweave.llm.pages import extract, main_text
 
 
@@ -105,3 +108,97 @@ def test_bare_text_beside_the_chosen_node_is_taken():
 def test_an_articles_header_keeps_its_headings():
     header = '<header class="entry"><div><h1>The title</h1></div><p>Posted in a section of the site</p><h2>And below</h2></header>'
     assert main_text(page([], f"<article>{header}{STORY}</article>", [])) == f"The title And below {TOLD}"
+
+
+class Tree(HTMLParser):
+    """Elements of a well-formed page as [tag, children]."""
+
+    def __init__(self, html):
+        super().__init__(convert_charrefs=False)
+        self.open = [["page", []]]
+        self.feed(html)
+        self.body = self.open[0][1][0]
+
+    def handle_starttag(self, tag, attrs):
+        self.open[-1][1].append([tag, []])
+        self.open.append(self.open[-1][1][-1])
+
+    def handle_endtag(self, tag):
+        self.open.pop()
+
+    def handle_data(self, data):
+        self.open[-1][1].append(data)
+
+
+def counts(node):
+    """Characters, tags, link characters, link tags below a node."""
+    c = t = lc = lt = 0
+    for child in node[1]:
+        if isinstance(child, str):
+            c += len(child.strip())
+        else:
+            a, b, d, e = counts(child)
+            link = child[0] == "a"
+            c, t, lc, lt = c + a, t + b + 1, lc + (a if link else d), lt + e + link
+    return c, t, lc, lt
+
+
+def density(node, body):
+    c, t, lc, lt = counts(node)
+    cb, _, lcb, _ = counts(body)
+    if not c:
+        return 0.0
+    t, gain = max(t, 1), max(c * max(t, 1) / (max(lc, 1) * max(lt, 1)), 1.0)
+    return c / t * math.log(gain) / math.log(math.log(lc * c / max(c - lc, 1) + c * lcb / cb + math.e**math.e))
+
+
+def paths(node, above=()):
+    yield (node, *above)
+    for child in node[1]:
+        if not isinstance(child, str):
+            yield from paths(child, (node, *above))
+
+
+def test_densities_and_threshold_against_brute_force():
+    import random
+
+    rng = random.Random(2)
+    words = "it is told at length how all began and went on".split()
+
+    def part(depth):
+        kind = rng.choice(["p", "div", "a", "section", "text"] if depth else ["div", "section"])
+        if kind == "text" or depth > 4:
+            return " ".join(rng.choices(words, k=rng.randint(1, 30)))
+        return f"<{kind}>{''.join(part(depth + 1) if kind in ('div', 'section') else part(9) for _ in range(rng.randint(1, 4)))}</{kind}>"
+
+    for _ in range(200):
+        html = f"<body>{''.join(part(0) for _ in range(3))}</body>"
+        root = pages.parse(html)
+        pages._measure(root)
+        got = pages._path(root)
+        body = Tree(html).body
+        best = max(sum(density(c, body) for c in p[0][1] if not isinstance(c, str)) for p in paths(body))
+        assert math.isclose(got[0].total, best)
+        reached = [p for p in paths(body) if math.isclose(sum(density(c, body) for c in p[0][1] if not isinstance(c, str)), best)]
+        assert any(math.isclose(pages._threshold(got), min(density(n, body) for n in p)) for p in reached)
+
+
+def test_parts_of_a_story_in_sibling_articles_stay_together():
+    more = f"<article>{STORY}</article>"
+    assert main_text(page(AROUND, more * 3, AROUND)) == " ".join([TOLD] * 3)
+    assert main_text(page([], f"{more}<article><a>Read on</a></article>", [])) == TOLD
+    assert main_text(page([], f"<main><h1>The title</h1>{more}</main>", [])) == f"The title {TOLD}"
+
+
+def test_names_that_hold_a_junk_word_do_not_take_text_away():
+    long = "He told of it again and again, to all who came by and to those who did not, for as long as there was time to tell it."
+    for block in (f'<div class="overflow-hidden"><p>{long}</p></div>', f'<section id="social-history"><p>{long}</p></section>'):
+        assert main_text(page([], f"<article>{STORY}{block}</article>", [])) == f"{TOLD} {long}", block
+    inline = '<p>He used the <span class="search-term">word</span> twice, and <math><mi>x</mi></math> once.</p>'
+    assert main_text(page([], f"<article>{STORY}{inline}</article>", [])) == f"{TOLD} He used the word twice, and x once."
+    pressed = "<p>Then press the <button>left</button> one and read its <label>name</label> aloud.</p><button>Share</button>"
+    assert main_text(page([], f"<article>{STORY}{pressed}</article>", [])) == f"{TOLD} Then press the left one and read its name aloud."
+    for junk in ("sidebar-left", "comment-list", "ad-container", "site-footer", "related-posts", "ad-slot-1"):
+        assert main_text(page([], f'<article>{STORY}<div class="{junk}"><p>{long}</p></div></article>', [])) == TOLD, junk
+    links = f'<div class="social-history"><a href="/x">{long}</a><a href="/y">more</a></div>'
+    assert main_text(page([], f"<article>{STORY}{links}</article>", [])) == TOLD
