@@ -29,7 +29,6 @@ the texts; a very frequent word is one entry per block.
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -102,9 +101,9 @@ class Block:
         key = (context[head] * _MIX ^ (context[head] >> _TURN)) + context[tail]
         key = (key ^ (key >> _TURN)) * _MIX
         keys, slot = np.unique(key ^ (key >> _TURN), return_inverse=True)
-        self.keys, self.pairs, self.slot, arc = keys, pairs, slot, slot[arc]
+        self.keys, self.pairs, self.slot, self.arc = keys, pairs, slot, arc
         self.word_counts = np.bincount(self.tokens[self.trained], minlength=len(self.words)).astype("<u4")
-        self.arc_counts = np.bincount(arc[self.trained], minlength=len(keys)).astype("<u4")
+        self.arc_counts = np.bincount(slot[arc[self.trained]], minlength=len(keys)).astype("<u4")
         width = max(1, -(-(1 << 64) // shards))
         edges = np.array([min(k * width, (1 << 64) - 1) for k in range(1, shards)], np.uint64)
         self.word_cuts = [0, *np.searchsorted(self.hashes, edges).tolist(), len(self.words)]
@@ -169,14 +168,12 @@ class Totals:
 class Automaton:
     """States are the block's words, then the start, then the root; log10 weights.
 
-    The arcs of state ``s`` are those from ``first[s]`` to ``first[s + 1]``,
-    by the word they read; an arc leads to the state of its word.
+    Arcs are numbered as the block numbers its bigrams, so a place of a text
+    knows the arc from the word before; it leads to the state of its word.
     """
 
-    first: list[int]
-    reads: list[int]
-    weight: list[float]
-    failure: list[float]  # weight of each state's failure arc to the root
+    arcs: np.ndarray  # weight of each bigram's arc, NaN where there is none
+    failure: np.ndarray  # weight of each state's failure arc to the root
     root: np.ndarray  # weight of each word at the root
     seen: np.ndarray  # words that are states; the root reads others back to itself
 
@@ -190,24 +187,28 @@ class Automaton:
         kept = np.flatnonzero(counts > 0)
         s, w = block.pairs[kept] // (len(block.words) + 1), block.pairs[kept] % (len(block.words) + 1)
         weight = np.log10((counts[kept] + spare[s] * chance[w]) / (seen[s] + spare[s]))
-        first = np.searchsorted(s, np.arange(len(block.words) + 3))  # the root has no arcs
-        return cls(first.tolist(), w.tolist(), weight.tolist(), [*np.log10(share).tolist(), 0.0], np.log10(chance), word_counts > 0)
-
-    def walk(self, tokens: np.ndarray) -> float:
-        """Log probability of one text: from the start, an arc for each token, over the failure arc where there is none."""
-        first, reads, weight, failure = self.first, self.reads, self.weight, self.failure
-        root = len(first) - 2
-        state, score = root - 1, 0.0
-        for token, alone, known in zip(tokens.tolist(), self.root[tokens].tolist(), self.seen[tokens].tolist()):
-            end = first[state + 1]
-            arc = bisect_left(reads, token, first[state], end)
-            if arc < end and reads[arc] == token:
-                score += weight[arc]
-                state = token
-            else:
-                score += failure[state] + alone
-                state = token if known else root
-        return score
+        arcs = np.full(len(block.pairs), np.nan)
+        arcs[kept] = weight
+        return cls(arcs, np.append(np.log10(share), 0.0), np.log10(chance), word_counts > 0)
+
+    def walk(self, block: Block) -> list[float]:
+        """Log probability of each text: from the start, an arc for each token, over the failure arc where there is none."""
+        start = len(self.root)
+        after = np.where(self.seen, np.arange(start), start + 1)  # the state that a word leads to
+        failure = self.failure
+        scores = []
+        for a, b in zip(block.starts.tolist(), (block.starts + block.lengths).tolist()):
+            tokens = block.tokens[a:b]
+            state, score = failure[start], 0.0  # a state is known by its failure arc
+            arcs, alone, reached = self.arcs[block.arc[a:b]], self.root[tokens], failure[after[tokens]]
+            for arc, word, following in zip(arcs.tolist(), alone.tolist(), reached.tolist()):
+                if arc == arc:
+                    score += arc
+                else:
+                    score += state + word
+                state = following
+            scores.append(score)
+        return scores
 
 
 def _score(shards: int, total: Totals):
@@ -218,8 +219,7 @@ def _score(shards: int, total: Totals):
         word_counts = np.concatenate([unplanes(x, "<u8") for x in answers.column("word_counts").to_pylist()])
         arc_counts = np.concatenate([unplanes(x, "<u8") for x in answers.column("key_counts").to_pylist()])
         model = Automaton.build(block, word_counts, arc_counts, total)
-        ends = block.starts + block.lengths
-        scores = [model.walk(block.tokens[a:b]) for a, b in zip(block.starts.tolist(), ends.tolist())]
+        scores = model.walk(block)
         base = np.add.reduceat(model.root[block.tokens], block.starts)
         known = np.add.reduceat(model.seen[block.tokens].astype(np.int64), block.starts)
         return pa.table({
@@ -232,7 +232,8 @@ def _score(shards: int, total: Totals):
 
 def training_totals(slim: DataFrame) -> Totals:
     """Counted over all training texts, by word, so that no block has to hear from every shard."""
-    spoken = F.explode(words(F.translate("t", UPPER, LOWER)))
+    plain = F.length("t") == F.octet_length("t")  # then the fast way lowers A-Z alone, too
+    spoken = F.explode(words(F.when(plain, F.lower("t")).otherwise(F.translate("t", UPPER, LOWER))))
     counts = slim.filter("train").select(spoken.alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     texts = slim.filter("train").count()  # each is one end more
