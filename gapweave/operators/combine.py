@@ -49,8 +49,8 @@ def join_groups(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFra
 
 
 def daily_onto_hourly(hourly: DataFrame, daily: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Repeat each day's values on its hours; days without an entry drop out."""
-    return hourly.join(daily, list(on), "inner")
+    """Repeat each day's values on its hours; days without an entry drop out, NULL keys match."""
+    return _null_safe(hourly, daily, list(on), "inner")
 
 
 def rows_not_in(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -54,9 +54,13 @@ def hourly_product(dat: DataFrame, out: str, targets: Sequence[str] = layouts.TA
         writers.write_parquet(hourly.predict(dat, fitted), f"{out}/parquet", run_date=run_date)
         # the CSV is written from what was just written, not computed again
         writers.write_csv(latest(readers.read_table(dat.sparkSession, f"{out}/parquet")), f"{out}/csv", run_date=run_date)
+        skill = {}
+        for t in targets:  # one row each, taken while the split is kept
+            found = hourly.test_skill(split, fitted, t)
+            skill[t] = dat.sparkSession.createDataFrame(found.collect(), found.schema)
     finally:
         split.unpersist()
-    return {t: hourly.test_skill(split, fitted, t) for t in targets}
+    return skill
 
 
 def daily_product(dat: DataFrame, out: str, target: str = "t28m", *, run_date: dt.date | None = None,

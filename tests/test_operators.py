@@ -416,3 +416,11 @@ def test_cell_filter_reaches_the_scan(spark, tmp_path):
     assert [(r["lon"], r["time_local"]) for r in got] == [(-51.5, dt.datetime(1900, 1, 1) + dt.timedelta(hours=1036800 - 3))]
     plan = cell._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(lon,308.4)" in plan and "PartitionFilters: [isnotnull(variable" in plan
+
+
+def test_daily_values_meet_hours_of_a_null_site(spark):
+    hours = spark.createDataFrame([(None, 1, 5.0), ("a", 1, 6.0), ("b", 2, 7.0)], "site string, day int, x double")
+    days = spark.createDataFrame([(None, 1, 0.5), ("a", 1, 0.6)], "site string, day int, rain double")
+    got = combine.daily_onto_hourly(hours, days, ["site", "day"])
+    assert got.columns == ["site", "day", "x", "rain"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(None, 1, 5.0, 0.5), ("a", 1, 6.0, 0.6)], key=str)
