@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gapweave.functions import clock, moisture
 from gapweave.functions.nullrules import lenient_sum, strict_sum
-from gapweave.operators.attach import attach, on_each_row
-from gapweave.operators.combine import join_on
+from gapweave.operators import quantiles
+from gapweave.operators.attach import attach, largest_group, on_each_row
 from gapweave.operators.quantiles import value_ranks
 
 #: Hours of a day, and the missing one.
@@ -35,10 +35,12 @@ def fill_rain(df: DataFrame, keys: Sequence[str], time: str, gauge: str, satelli
     return fill(hourly, "p_mm_obs", "p_gpm", "p_mm_gf", flag=None)
 
 
-def _order_statistics(df: DataFrame, by: Sequence[str], value: str, bound: int | None) -> DataFrame:
-    """One row per value and group: its place ``__at`` (0, 1, ...) in sorted order, and ``__v``."""
-    ranks = value_ranks(df, by, value, bound=bound)
-    return ranks.select(*by, F.explode(F.sequence("below", F.col("upto") - 1)).alias("__at"), F.col(value).alias("__v"))
+def _runs(ranks: DataFrame, by: Sequence[str], value: str, into: str, blocks: int) -> DataFrame:
+    """Runs of equal values ``into`` from place ``__at`` of their group's sorted order, cut where a block of places begins."""
+    width = F.ceil(F.col("total") / blocks)
+    block = F.explode(F.sequence(F.floor(F.col("below") / width), F.floor((F.col("upto") - 1) / width)))
+    pieces = ranks.select(*by, F.col(value).alias(into), "below", width.alias("__width"), block.alias("__block"))
+    return pieces.select(*by, "__block", F.greatest("below", F.col("__block") * F.col("__width")).alias("__at"), into)
 
 
 def quantile_map(full: DataFrame, overlap: DataFrame, by: Sequence[str], model: str, obs: str, into: str, *,
@@ -52,31 +54,38 @@ def quantile_map(full: DataFrame, overlap: DataFrame, by: Sequence[str], model:
     between neighbouring order statistics of the calibration rows, the rows of
     ``overlap`` with both values; no grid of nodes stands between.  A group
     without such a row has no result.
+
+    Equal values stay one run, however many there are.  A wanted place meets the
+    run that holds it in one sort of runs and places, in blocks of places that
+    fit a task.
     """
     pairs = overlap.where(F.col(obs).isNotNull() & F.col(model).isNotNull())
-    seen, made = (_order_statistics(pairs, by, c, bound) for c in (obs, model))
-    # each order statistic stands at its own place and as the upper neighbour of the place before
-    both = seen.withColumn("__k", F.lit("obs")).unionByName(made.withColumn("__k", F.lit("model")))
-    spread = both.select(*by, "__k", "__v", F.explode(F.array(F.struct(F.col("__at").alias("at"), F.lit(0).alias("up")),
-                                                             F.struct((F.col("__at") - 1).alias("at"), F.lit(1).alias("up")))).alias("p"))
-
-    def value(kind: str, up: int) -> Column:
-        return F.max(F.when((F.col("__k") == kind) & (F.col("p.up") == up), F.col("__v")))
-
-    maps = spread.where("p.at >= 0").groupBy(*by, F.col("p.at").alias("__low")).agg(
-        value("obs", 0).alias("__o0"), value("obs", 1).alias("__o1"), value("model", 0).alias("__m0"), value("model", 1).alias("__m1"))
-    sizes = pairs.groupBy(*by).agg(F.count(F.lit(1)).alias("__m"))
-    ranks = value_ranks(full, by, model, bound=bound)
+    n_pairs, n_full = largest_group(pairs, by), largest_group(full, by)
+    blocks = 1 + (n_pairs + n_full) // max(1, quantiles.GROUP_ROWS)
+    seen = _runs(value_ranks(pairs, by, obs, bound=bound, largest=n_pairs), by, obs, "__o", blocks)
+    made = _runs(value_ranks(pairs, by, model, bound=bound, largest=n_pairs), by, model, "__m", blocks)
+
+    ranks = value_ranks(full, by, model, bound=bound, largest=n_full)
+    sizes = pairs.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    placed = attach(ranks, sizes, by, bound=bound).where("__n IS NOT NULL")
     tau = F.when(F.col("total") > 1, F.col("below") / (F.col("total") - 1)).otherwise(F.lit(0.0))
-    placed = attach(ranks.withColumn("__tau", tau), sizes, by, bound=bound)
-    place = F.col("__tau") * (F.col("__m") - 1)
-    placed = placed.withColumns({"__low": F.floor(place), "__w": place - F.floor(place)})
-    met = join_on(placed, maps, [*by, "__low"], "left")
-
-    def between(a: str, b: str) -> Column:
-        return F.col(a) + F.coalesce((F.col(b) - F.col(a)) * F.col("__w"), F.lit(0.0))
-
-    shifts = met.select(*by, model, F.col("n").alias("__weight"), (between("__o0", "__o1") - between("__m0", "__m1")).alias("__shift"))
+    placed = placed.withColumn("__place", tau * (F.col("__n") - 1))
+    low = F.floor("__place")
+    # the place below and the one above, which may lie in the next block
+    ends = F.explode(F.array(F.struct(F.lit(0).alias("up"), low.alias("at")),
+                             F.struct(F.lit(1).alias("up"), F.least(low + 1, F.col("__n") - 1).alias("at"))))
+    wanted = placed.select(*by, F.col(model).alias("__x"), F.col("n").alias("__weight"), (F.col("__place") - low).alias("__w"), "__n", ends.alias("__e"))
+    wanted = wanted.select(*by, "__x", "__weight", "__w", F.col("__e.up").alias("__up"), F.col("__e.at").alias("__at"),
+                           F.floor(F.col("__e.at") / F.ceil(F.col("__n") / blocks)).alias("__block"))
+
+    # runs come before the places they begin at
+    order = Window.partitionBy(*by, "__block").orderBy("__at", F.col("__up").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    together = wanted.unionByName(seen, allowMissingColumns=True).unionByName(made, allowMissingColumns=True)
+    shift = F.last("__o", ignorenulls=True).over(order) - F.last("__m", ignorenulls=True).over(order)
+    met = together.withColumn("__shift", shift).where("__up IS NOT NULL")
+    lower, upper = F.max(F.when(F.col("__up") == 0, F.col("__shift"))), F.max(F.when(F.col("__up") == 1, F.col("__shift")))
+    shifts = met.groupBy(*by, F.col("__x").alias(model)).agg(
+        F.max("__weight").alias("__weight"), (lower + (upper - lower) * F.max("__w")).alias("__shift"))
     return attach(full, shifts, [*by, model], weight="__weight").withColumn(into, F.col(model) + F.col("__shift")).drop("__shift")
 
 

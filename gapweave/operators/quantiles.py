@@ -41,17 +41,31 @@ def _holds_wanted(before: Column, size: Column, total: Column, wanted: Sequence[
     return out
 
 
+def _ranks_in_one_task(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``value_ranks`` of groups that fit a task each: equal values are merged, then one window."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    group = Window.partitionBy(*keys)
+    upto = F.sum("n").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    return (counts.withColumns({"upto": upto, "total": F.sum("n").over(group)})
+            .select(*keys, value, "n", (F.col("upto") - F.col("n")).alias("below"), "upto", "total"))
+
+
 def value_ranks(df: DataFrame, keys: Sequence[str], value: str, blocks: int | None = None,
-                bound: int | None = None, wanted: Sequence[float] | None = None) -> DataFrame:
+                bound: int | None = None, wanted: Sequence[float] | None = None,
+                largest: int | None = None) -> DataFrame:
     """Distinct values per group: ``n`` copies, ``below`` / ``upto`` ranks, ``total`` size.
 
     With ``wanted`` probabilities only the blocks that hold one of their order
     statistics are ranked; the rows of the others drop out before any sort.
     ``bound`` is a proven limit of the number of groups.  Without ``blocks`` the
-    largest group decides how many value blocks there are.
+    largest group (``largest`` rows, where the caller has counted it) decides how
+    many value blocks there are; a group that fits a task is not cut.
     """
     if blocks is None:
-        blocks = 2 + 2 * largest_group(df, keys) // max(1, GROUP_ROWS)
+        largest = largest_group(df, keys) if largest is None else largest
+        if largest <= GROUP_ROWS and wanted is None:
+            return _ranks_in_one_task(df, keys, value)
+        blocks = 2 + 2 * largest // max(1, GROUP_ROWS)
     counts = (df.where(F.col(value).isNotNull()).groupBy(*keys, value)
               .agg(F.count(F.lit(1)).alias("n")))
     inner = [i / blocks for i in range(1, blocks)]

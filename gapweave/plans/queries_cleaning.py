@@ -204,6 +204,16 @@ def product_parquet(t: Tables) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum("value").alias("value"), F.max("ts").alias("last_ts"))
 
 
+def _archive(t: Tables, label: str) -> list[str]:
+    """Events as CSV, written to one folder a type, ``archive.<type>.e5``; the folders."""
+    path = staging_path(t.spark, label)
+    kinds = [r[0] for r in t.events.select("event_type").where("event_type IS NOT NULL").distinct().collect()]  # a handful of types
+    for kind in kinds:
+        rows = t.events.where(F.col("event_type") == kind).select("event_id", "value")
+        writers.write_csv(rows, f"{path}/archive.{kind}.e5", stamp=False)
+    return [f"{path}/archive.{kind}.e5" for kind in sorted(kinds)]
+
+
 @query(f"""
 WITH {LOG} SELECT DISTINCT site AS variable FROM log
 """)
@@ -213,6 +223,16 @@ def variable_from_name(t: Tables) -> DataFrame:
     return named.select(naming.variable_of(F.col("file")).alias("variable")).where("variable IS NOT NULL").distinct()
 
 
+@query("""
+SELECT event_type AS variable, count(*) AS n, sum(value) AS value FROM events WHERE event_type IN ('click', 'view') GROUP BY 1
+""", rounded=["value"])
+def files_from_list(t: Tables) -> DataFrame:
+    """CSV files from an explicit list of paths; each row's variable is in the path it came from."""
+    listed = [p for p in _archive(t, "listed") if ".click." in p or ".view." in p]
+    df = readers.read_csv(t.spark, listed).withColumn("variable", naming.variable_of(F.element_at(F.split("_metadata.file_path", "/"), -2)))
+    return df.groupBy("variable").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").try_cast("double")).alias("value"))
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity AS e5_quantity, l_extendedprice AS e5_price FROM lineitem
 """)

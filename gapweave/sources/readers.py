@@ -6,11 +6,11 @@ over the data, and a file with a different column order reads the same.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from multiprocessing.pool import ThreadPool
+from collections.abc import Iterator, Mapping, Sequence
+from urllib.parse import unquote
 
-from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -21,12 +21,31 @@ from gapweave.operators.combine import stack_rows
 from gapweave.sources import layouts
 
 
-def _files(spark: SparkSession, paths: Sequence[str], name_pattern: str | None) -> list[str]:
-    """Paths of the files (names only, no content)."""
-    reader = spark.read.format("binaryFile")
-    if name_pattern:
-        reader = reader.option("pathGlobFilter", name_pattern)
-    return sorted(r[0] for r in reader.load(list(paths)).select("path").collect())
+#: Above the size of any text file: a scan with this cost per file gives every file a task of its own.
+_OWN_TASK = 1 << 40
+
+
+def _first_lines(spark: SparkSession, paths: Sequence[str], name_pattern: str | None) -> list[Row]:
+    """``path, line``: the first line with content of every file, in one job with a task per file.
+
+    A task stops after that line, so little of a file is read.  A file without
+    such a line is left out.  Names and header lines reach the driver, no data.
+    """
+    apart = spark.newSession()  # the settings of the caller's session stay as they are
+    for name in ("maxPartitionBytes", "openCostInBytes"):
+        apart.conf.set(f"spark.sql.files.{name}", _OWN_TASK)
+    apart.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 16)
+    reader = apart.read.option("pathGlobFilter", name_pattern) if name_pattern else apart.read
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, line in enumerate(batch.column("line").to_pylist()):
+                if line.strip():
+                    yield batch.slice(i, 1)
+                    return
+
+    lines = reader.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
+    return lines.mapInArrow(first, "path string, line string").collect()
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], name_pattern: str | None = None) -> DataFrame:
@@ -34,21 +53,18 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], name_pattern: str
 
     Files with one header share a scan; scans of different headers are joined
     by name, and a column that a file lacks is NULL there.  A file that does not
-    keep its header stops the job.
+    keep its header stops the job; one without a header line has no rows.
     """
     reader = spark.read.option("header", True).option("encoding", "UTF-8").option("enforceSchema", False)
-    files = _files(spark, [paths] if isinstance(paths, str) else paths, name_pattern)
-    if not files:
-        raise FileNotFoundError(f"no file at {paths}")
-    # one line of each file, several files at a time
-    with ThreadPool(min(16, len(files))) as pool:
-        headers = pool.map(inheritable_thread_target(spark)(lambda f: tuple(reader.csv(f).columns)), files)
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file, header in zip(files, headers):
-        if header:  # an empty file has no columns
-            groups.setdefault(header, []).append(file)
+    alike: dict[str, list[str]] = {}
+    for row in sorted(_first_lines(spark, [paths] if isinstance(paths, str) else paths, name_pattern)):
+        alike.setdefault(row["line"], []).append(unquote(row["path"]))  # the scan escapes names
+    if not alike:
+        raise FileNotFoundError(f"no file with a header at {paths}")
+    # one file of each kind tells how its header line is read
+    headers = [reader.csv(found[0]).columns for found in alike.values()]
     scans = [reader.schema(StructType([StructField(c, StringType()) for c in header])).csv(found)
-             for header, found in groups.items()]
+             for header, found in zip(headers, alike.values())]
     return stack_rows(scans, fill_missing=True)
 
 
@@ -123,5 +139,6 @@ def with_file_variable(df: DataFrame, into: str = "variable") -> DataFrame:
 
 
 def variables_in(df: DataFrame) -> DataFrame:
-    """Distinct variable codes of the files behind ``df``."""
-    return with_file_variable(df).select("variable").where(F.col("variable").isNotNull()).distinct()
+    """Distinct variable codes of the files behind ``df``: from their names, no file is opened."""
+    names = df.sparkSession.createDataFrame([(unquote(path.rsplit("/", 1)[-1]),) for path in df.inputFiles()], "name string")
+    return names.select(naming.variable_of(F.col("name")).alias("variable")).where("variable IS NOT NULL").distinct()

@@ -321,6 +321,30 @@ def test_quantile_mapping_against_numpy(spark, group_rows, monkeypatch):
     assert len(got) == n
 
 
+@pytest.mark.parametrize("group_rows", [0, 100, 1_000_000])
+def test_quantile_mapping_of_ties(spark, group_rows, monkeypatch):
+    """Half of the rows share a value; it stays one run a block."""
+    monkeypatch.setattr(quantiles, "GROUP_ROWS", group_rows)
+    rnd = np.random.default_rng(6)
+    n = 600
+    ws = np.where(rnd.random(n) < 0.5, 0.0, np.round(rnd.gamma(2, 2, n), 1))
+    vv = np.where(rnd.random(n) < 0.7, np.where(rnd.random(n) < 0.5, 0.5, np.round(rnd.gamma(2, 1, n), 1)), np.nan)
+    p = pd.DataFrame({"id": range(n), "hour": np.where(np.arange(n) % 3 == 0, 1.0, np.where(np.arange(n) % 3 == 1, 2.0, np.nan)), "ws": ws, "vv": vv})
+    p.loc[p["hour"] == 2.0, "vv"] = np.nan  # no calibration rows
+    df = spark.createDataFrame(p)
+    df = df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("hour", "vv")})
+    got = {r["id"]: r["bc"] for r in gapfill.quantile_map(df, df.where("vv IS NOT NULL"), ["hour"], "ws", "vv", "bc").collect()}
+    for hour, g in p.groupby("hour", dropna=False):
+        cal = g.dropna(subset=["vv"])
+        for r in g.itertuples():
+            tau = (g["ws"] < r.ws).sum() / (len(g) - 1)
+            want = None if hour == 2.0 else pytest.approx(r.ws + np.quantile(cal["vv"], tau) - np.quantile(cal["ws"], tau))
+            assert got[r.id] == want
+    assert len(got) == n
+    ranks = quantiles.value_ranks(df, ["hour"], "ws")
+    assert gapfill._runs(ranks, ["hour"], "ws", "v", 4).count() <= ranks.count() + 3 * 4
+
+
 # --- the rest ---------------------------------------------------------------
 
 

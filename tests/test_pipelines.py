@@ -234,6 +234,30 @@ def test_files_with_other_column_orders_and_columns(spark, tmp_path):
     assert got == {("1", "2", None), ("3", "4", None), ("10", "20", None), ("100", None, "9")}
 
 
+def test_headers_of_many_files_take_one_job(spark, tmp_path):
+    folder = tmp_path / "with space 100%"
+    for i in range(40):
+        put(folder, f"f{i}.csv", ["x", "y"] if i % 2 else ["y", "x"], [[1, 2]] * 50)
+    (folder / "empty.csv").write_text("")
+    (folder / "blank.csv").write_text("\n \n")
+    (folder / "late.csv").write_text("\nx,z\n5,6\n")
+    (folder / "bare.csv").write_text("x,y\n")
+    lines = readers._first_lines(spark, [str(folder)], None)
+    assert len(lines) == 42 and {r["line"] for r in lines} == {"x,y", "y,x", "x,z"}
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        df = readers.read_csv(spark, str(folder))
+        jobs = len(tracker.getJobIdsForGroup("headers"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 1 + 3 + 1  # lines, one file of each kind, listing
+    got = {(r["x"], r["y"], r["z"]): r["count"] for r in df.groupBy("x", "y", "z").count().collect()}
+    assert got == {("1", "2", None): 1000, ("2", "1", None): 1000, ("5", None, "6"): 1}
+    with pytest.raises(FileNotFoundError):
+        readers.read_csv(spark, str(folder), name_pattern="*.txt")
+
+
 def test_run_date_partitions_survive_reruns(spark, tmp_path):
     path = str(tmp_path / "out")
     for day, n in ((1, 5), (2, 7), (1, 3)):
