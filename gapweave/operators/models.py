@@ -80,16 +80,20 @@ class Search:
 
 
 @contextmanager
-def kept(train: DataFrame, covariates: Sequence[str], target: str, extra: Sequence[Column] = ()):
+def kept(train: DataFrame, covariates: Sequence[str], target: str, extra: Sequence[Column] = (), cut: bool = False):
     """Target and inputs as doubles, kept while a model iterates over them.
 
     Every iteration runs a few jobs, so a small set should not be spread over
-    more tasks than it has work for; a large one keeps its partitions.
+    more tasks than it has work for; a large one keeps its partitions.  With
+    ``cut`` the rows are checkpointed in the same order: jobs that come by the
+    thousand then do not carry the plan that made the rows, whose stages grow
+    with the input.
     """
     picked = with_inputs(train, covariates).withColumn(target, F.col(target).cast("double"))
     data = picked.select(*_private(covariates), target, *extra).persist()
     try:
-        yield data.coalesce(1 + data.count() // PARTITION_ROWS)
+        few = data.coalesce(1 + data.count() // PARTITION_ROWS)
+        yield few.checkpoint() if cut else few
     finally:
         data.unpersist()
 
@@ -115,7 +119,8 @@ def _search(train: DataFrame, target: str, covariates: Sequence[str], model, gri
     stages = Pipeline(stages=[*_features(covariates), model])
     evaluator = RegressionEvaluator(labelCol=target, predictionCol="__pred", metricName="rmse")
     named = [", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)) for m in grid]
-    with kept(train, covariates, target, [fold_of(train.columns, folds).alias("__fold")]) as data:
+    boosted = isinstance(model, GBTRegressor)  # a few jobs per tree and candidate
+    with kept(train, covariates, target, [fold_of(train.columns, folds).alias("__fold")], cut=boosted) as data:
         if len(grid) == 1:
             best = stages.fit(data, grid[0])
             return Search(best, list(covariates), [(named[0], float(evaluator.evaluate(best.transform(data))))])

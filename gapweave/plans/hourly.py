@@ -35,8 +35,9 @@ def fit_targets(split: DataFrame, targets: Sequence[str] = layouts.TARGETS, same
     def search_one(target: str) -> models.Search:
         return models.search_boosted(models.usable(train, target, "train"), target, inputs, **search)
 
-    # searches of different targets do not depend on each other; Spark runs their jobs side by side
-    with ThreadPool(min(len(targets), 4)) as pool:
+    # searches of different targets do not depend on each other; Spark runs their jobs side by side,
+    # all of them: with a few left for a second round the cores would wait for single chains of jobs
+    with ThreadPool(len(targets)) as pool:
         found = pool.map(inheritable_thread_target(train.sparkSession)(search_one), targets)
     return dict(zip(targets, found))
 
