@@ -130,6 +130,8 @@ def _search(train: DataFrame, target: str, covariates: Sequence[str], model, gri
         if len(places) < 2:
             raise ValueError("a search needs training rows of two months at least")
         data = data.replace(places, subset=["__fold"]) if len(places) < folds else data
+        if boosted and data.rdd.getNumPartitions() == 1:  # a candidate's jobs fill one core: all go side by side
+            parallelism = max(parallelism, len(grid))
         search = CrossValidator(estimator=stages, estimatorParamMaps=grid, evaluator=evaluator, numFolds=len(places),
                                 parallelism=parallelism, seed=SEED, foldCol="__fold")
         found: CrossValidatorModel = search.fit(data)
