@@ -143,7 +143,7 @@ def pack_texts(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "
         def documents() -> Iterator[tuple[int | None, bytes]]:
             for batch in batches:
                 for part in slices(batch, "t", 3 << 20):
-                    for k, ids in zip(part.column("key").to_pylist(), words.encode(part.column("t").to_pylist())):
+                    for k, ids in zip(part.column("key").to_pylist(), words.encode(part.column("t"))):
                         yield k, ids + tail
 
         first = TaskContext.get().partitionId() << 32

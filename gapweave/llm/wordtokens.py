@@ -10,41 +10,34 @@ holds.  Strings of special tokens count as ordinary text.
 from __future__ import annotations
 
 import os
-import re
 from itertools import chain
 from unicodedata import is_normalized
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MEMO_WORDS = 160_000
 TOGETHER = 64
 #: Marks that normalisation neither makes nor changes.
 MARKS = "|~^¦§¬"
-#: str.split() also splits at these four, the tokenizer does not.
-_SEPARATORS = re.compile("[\x1c-\x1f]")
 _BEHIND = ".,;:!?%*#$&"
-_GAPS = re.compile("[ \n\t\r]+")
 
 
-def split(text: str | None) -> list[str]:
-    """Words between white space."""
-    if not text:
-        return []
-    return _GAPS.split(text) if _SEPARATORS.search(text) else text.split()
-
-
-def core_and_rest(word: str) -> tuple[str, str]:
-    """A word in lower case and the punctuation behind it.
+def cores_and_rests(words: list[str]) -> tuple[list[str], list[str]]:
+    """Words in lower case without the punctuation behind them, and that punctuation.
 
     A letter and such a mark never share a pre-token, and both cases of a
     letter have one id, so the parts' ids side by side are the word's.  Words
     whose lower case is not plain stay as they are.
     """
-    core = word.rstrip(_BEHIND)
-    if not core or not core[-1].isalpha():
-        core = word
-    plain = core.isascii() or (is_normalized("NFC", core) and "\u03a3" not in core and "\u0130" not in core)
-    return (core.lower() if plain else core), word[len(core) :]
+    cores = [c if (c := w.rstrip(_BEHIND)) and c[-1].isalpha() else w for w in words]
+    rests = [w[len(c) :] for w, c in zip(words, cores)]
+    return [c.lower() if c.isascii() or _plain(c) else c for c in cores], rests
+
+
+def _plain(core: str) -> bool:
+    return is_normalized("NFC", core) and "\u03a3" not in core and "\u0130" not in core
 
 
 class WordTokens:
@@ -75,15 +68,14 @@ class WordTokens:
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words outside the memo: of their cores, and of what follows them."""
-        pairs = [core_and_rest(w) for w in words]
-        parts = {x for pair in pairs for x in pair}
-        parts.difference_update(self.parts)
-        learned = self._encode_words(list(parts))
+        cores, rests = cores_and_rests(words)
+        parts = {*cores, *rests}
+        learned = self._encode_words(list(parts.difference(self.parts)))  # difference() walks the set, not the memo
         if len(self.parts) + len(learned) > self.memo_words:
-            self.parts = {x: self.parts[x] for pair in pairs for x in pair if x in self.parts}
+            self.parts = {x: self.parts[x] for x in parts if x in self.parts}
         self.parts.update(learned)
         ids = self.parts
-        return {w: ids[core] + ids[rest] for w, (core, rest) in zip(words, pairs)}
+        return {w: ids[core] + ids[rest] for w, core, rest in zip(words, cores, rests)}
 
     def _encode_words(self, words: list[str]) -> dict[str, bytes]:
         out: dict[str, bytes] = {}
@@ -103,17 +95,24 @@ class WordTokens:
                 start = end + 4
         return out
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        found = [split(t) for t in texts]
-        words = set().union(*found)
-        unknown = words.difference(self.memo)
+    def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        # Arrow splits, numbers and joins the words of all texts; Python sees each distinct word once
+        found = pc.ascii_split_whitespace(texts.fill_null(""))
+        coded = found.values.dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist() takes eight times as long
+        known = list(map(self.memo.get, words))
+        unknown = [w for w, ids in zip(words, known) if ids is None]
         older = self.older
-        back = unknown.intersection(older)
-        unknown.difference_update(back)
-        if len(self.memo) + len(back) + len(unknown) > self.memo_words:
+        if len(self.memo) + len(unknown) > self.memo_words:
             # words of this call stay; the others are kept for one more turn
-            self.older, self.memo = self.memo, {w: self.memo[w] for w in words.intersection(self.memo)}
-        self.memo.update((w, older[w]) for w in back)
-        self.memo.update(self._learn(list(unknown)))
-        ids_of = self.memo.__getitem__
-        return [b"".join(map(ids_of, words)) for words in found]
+            self.older, self.memo = self.memo, {w: ids for w, ids in zip(words, known) if ids is not None}
+        new = {w: older[w] for w in unknown if w in older}
+        new |= self._learn([w for w in unknown if w not in new])
+        self.memo |= new
+        ids = pa.array([new[w] if ids is None else ids for w, ids in zip(words, known)], pa.large_binary()).take(coded.indices)
+        _, ends, body = ids.buffers()
+        cuts = np.frombuffer(ends, np.int64, len(ids) + 1)[found.offsets.to_numpy()].tolist() if len(ids) else [0] * (len(texts) + 1)
+        data = memoryview(body or b"")
+        return [bytes(data[start:end]) for start, end in zip(cuts, cuts[1:])]
